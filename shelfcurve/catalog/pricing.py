@@ -30,11 +30,11 @@ def trends(spark, sf, settings=SETTINGS):
 
 
 @query(with_entities("growth", """
-SELECT whs_id, art_id, grp_art_id, brand, gs_fo_id, frmt_id, aum_type_id, direction_type, skidgr, round(disc, 4) AS disc,
+SELECT whs_id, art_id, grp_art_id, brand, gs_fo_id, frmt_id, aum_type_id, direction_type, skidgr, disc,
   round(prir_sale, 4) AS prir_sale, round(prir_client, 4) AS prir_client, round(prir_txn, 4) AS prir_txn,
   round(prir_ssn, 4) AS prir_ssn FROM growth"""))
 def growth_measures(spark, sf):
-    rows = growth(spark, sf).withColumn("disc", F.round(F.col("disc").cast("double"), 4))
+    rows = growth(spark, sf).withColumn("disc", F.col("disc").cast("double"))
     return rounded(rows.drop("algorithm_type", "scnd_holiday_id"), ["prir_sale", "prir_client", "prir_txn", "prir_ssn"])
 
 
