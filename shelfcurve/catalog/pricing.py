@@ -9,6 +9,7 @@ from shelfcurve.catalog.grouping import GROUPS_SQL, growth, growth_groups, round
 from shelfcurve.catalog.registry import four_digits, four_digits_sql, query
 from shelfcurve.operators import aggregates
 from shelfcurve.plans import baseline, elasticity
+from shelfcurve.session import materialise
 from shelfcurve.sources import retail
 
 SETTINGS = elasticity.Settings(statuses=("F",), campaign_name="red", companies=(1,))
@@ -151,7 +152,8 @@ DAYS, MIN_DAYS, MIN_PROMO_DAYS = 1500, 2, 1
 
 
 def baseline_inputs(spark, sf, article_trends) -> tuple[baseline.Inputs, baseline.Settings]:
-    daily, goods = retail.daily_sales(spark, sf), retail.articles(spark, sf)
+    # the job expects sales, prices and trends as stored tables
+    daily, goods = materialise(retail.daily_sales(spark, sf), "daily"), retail.articles(spark, sf)
     sold = retail.table(spark, sf, "lineitem")
     today = sold.agg(F.date_add(F.max(F.col("l_shipdate").cast("date")), 1)).scalar()
     settings = baseline.Settings(
@@ -163,7 +165,7 @@ def baseline_inputs(spark, sf, article_trends) -> tuple[baseline.Inputs, baselin
         warehouses=retail.warehouses(spark, sf), clusters=retail.clusters(spark, sf), articles=goods,
         article_info=retail.article_info(goods), calendar=retail.promo_calendar(spark, sf),
         holidays=retail.holiday_coefficients(spark, sf), seasons=retail.season_coefficients(spark, sf),
-        elasticity=article_trends,
+        elasticity=materialise(article_trends, "article-trends"),
     )
     return inputs, settings
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcurve.functions.dates import overlap_share
+from shelfcurve.functions.predicates import all_of
 
 
 def broadcast_within(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
@@ -16,6 +17,12 @@ def broadcast_within(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+def semi_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left semi-join on columns of the same names, where NULL equals NULL."""
+    other = right.select(*[F.col(c).alias(f"o_{c}") for c in on])
+    return left.join(other, all_of(F.col(c).eqNullSafe(F.col(f"o_{c}")) for c in on), "left_semi")
+
+
 def left_with_defaults(left: DataFrame, right: DataFrame, on: list[str], defaults: dict) -> DataFrame:
     """Left join; missing values of the right side get a default."""
     joined = left.join(right, on, "left")
@@ -56,28 +63,28 @@ def overlapped(
     """Distinct event intervals of which one interval covers at least ``min_share``.
 
     Both sides are first reduced to distinct intervals and then cut into bins of days, so
-    the join key is (keys, bin) and only intervals close in time meet, each pair once: in
-    the bin of the later begin. Columns of the result: keys, ``labels`` of the event, its
-    begin and its end.
+    the join key is (keys, bin) and only intervals close in time meet. The semi-join stops
+    at the first interval that is enough; pairs are never written out. Columns of the
+    result: keys, ``labels`` of the event, its begin and its end.
     """
     spans = events.select(*keys, *labels, F.col(event[0]).alias("eb"), F.col(event[1]).alias("ee")).distinct()
-    others = intervals.select(*keys, F.col(interval[0]).alias("ib"), F.col(interval[1]).alias("ie"))
-    others = longest_per_begin(others, keys, "ib", "ie")
+    others = longest_per_begin(intervals, keys, *interval).select(
+        *[F.col(k).alias(f"i_{k}") for k in keys], F.col(interval[0]).alias("ib"), F.col(interval[1]).alias("ie")
+    )
 
     def bin_of(day):
         return F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / bin_days).cast("int")
 
-    def binned(df: DataFrame, begin: str, end: str) -> DataFrame:
+    def binned(df: DataFrame, begin: str, end: str, name: str) -> DataFrame:
         return df.where(F.col(begin) <= F.col(end)).select(
-            "*", F.explode(F.sequence(bin_of(F.col(begin)), bin_of(F.col(end)))).alias("bin")
+            "*", F.explode(F.sequence(bin_of(F.col(begin)), bin_of(F.col(end)))).alias(name)
         )
 
-    near = binned(spans, "eb", "ee").join(binned(others, "ib", "ie"), [*keys, "bin"])
-    hits = near.where(
-        (F.col("ib") <= F.col("ee"))
-        & (F.col("ie") >= F.col("eb"))
-        & (F.col("bin") == bin_of(F.greatest("eb", "ib")))
-        & (overlap_share(F.col("eb"), F.col("ee"), F.col("ib"), F.col("ie")) >= min_share)
+    near = all_of(F.col(k) == F.col(f"i_{k}") for k in keys) & (F.col("bin") == F.col("i_bin"))
+    enough = overlap_share(F.col("eb"), F.col("ee"), F.col("ib"), F.col("ie")) >= min_share
+    common = (F.col("ib") <= F.col("ee")) & (F.col("ie") >= F.col("eb"))
+    hits = binned(spans, "eb", "ee", "bin").join(
+        binned(others, "ib", "ie", "i_bin"), near & common & enough, "left_semi"
     )
     return hits.select(*keys, *labels, F.col("eb").alias(event[0]), F.col("ee").alias(event[1])).distinct()
 

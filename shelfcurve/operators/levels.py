@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def masked_levels(df: DataFrame, masked: dict[str, Column], fixed: list[str] = ()) -> DataFrame:
+def masked_levels(df: DataFrame, masked: dict[str, Column]) -> DataFrame:
     """One copy of each row per subset of the masked columns.
 
     ``masked`` maps a column to the value that stands for "all". Bit ``i`` of the new
     column ``level_mask`` tells that masked column ``i`` keeps its own value. The mask
-    belongs into the grouping key, since a real value may equal the stand-in. Columns in
-    ``fixed`` get the value -1 at every level.
+    belongs into the grouping key, since a real value may equal the stand-in.
     """
     names = list(masked)
     masks = F.array(*[F.lit(m) for m in range(2 ** len(names))])
@@ -20,4 +19,4 @@ def masked_levels(df: DataFrame, masked: dict[str, Column], fixed: list[str] = (
         name: F.when(F.col("level_mask").bitwiseAND(1 << i) != 0, F.col(name)).otherwise(masked[name])
         for i, name in enumerate(names)
     }
-    return copies.withColumns({**replaced, **{c: F.lit(-1) for c in fixed}})
+    return copies.withColumns(replaced)

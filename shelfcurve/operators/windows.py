@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfcurve.operators.joins import semi_null_safe
 from shelfcurve.session import materialise
 
 
@@ -27,7 +28,7 @@ def best_per_key(df: DataFrame, keys: list[str], order: list[tuple[str, Column]]
     names = [name for name, _ in order]
     best = ranked.groupBy(*keys).agg(F.min(F.struct(*names)).alias("_best"))
     best = best.select(*keys, *[F.col("_best")[n].alias(n) for n in names])
-    return ranked.join(best, [*keys, *names], "left_semi").drop(*names)
+    return semi_null_safe(ranked, best, [*keys, *names]).drop(*names)
 
 
 def with_previous(
@@ -98,7 +99,7 @@ def span_filter(df: DataFrame, keys: list[str], value: str, more_than: int, span
         .agg(F.count("*").alias("_n"), (F.max(value) - F.min(value)).alias("_span"))
         .where((F.col("_n") > more_than) & (F.col("_span") > span_over))
     )
-    return df.join(wide, keys, "left_semi")
+    return semi_null_safe(df, wide, keys)
 
 
 def change_between_snapshots(snapshots: DataFrame, table: str, taken: str, rows: str, keep: int = 50) -> DataFrame:

@@ -23,6 +23,7 @@ POSITIVE = (
     "scnd_sale_qnty", "scnd_client_cnt", "scnd_txn_cnt", "scnd_price", "frst_sale_qnty",
     "frst_client_cnt", "frst_txn_cnt", "frst_price", "scnd_day_cnt_rest_sales",
 )
+SIDES = ("frst", "scnd")
 PERIOD_DATES = ("frst_begin_dt", "frst_end_dt", "scnd_begin_dt", "scnd_end_dt")
 GROUP = ["grp_art_id", "brand", "gs_fo_id", "frmt_id", "algorithm_type"]
 FIXED_LEVELS = ["aum_type_id", "scnd_holiday_id", "direction_type"]
@@ -122,38 +123,42 @@ def calendar_intervals(promotions: Promotions, since: Column, s: Settings) -> Da
     return listed.select("whs_id", "art_id", "beg_dt", "end_dt")
 
 
-def promoted_periods(pairs: DataFrame, promotions: Promotions, since: Column, side: str, s: Settings) -> DataFrame:
-    """Period begins under promotion, for the first or the second period of ``pairs``.
+def promoted_periods(pairs: DataFrame, promotions: Promotions, since: Column, s: Settings) -> DataFrame:
+    """Period begins under promotion: ``side`` tells whether of the first or the second period.
 
     A campaign excludes pairs of the same algorithm only, the calendar excludes all: there
-    the algorithm is NULL.
+    the algorithm is NULL. Both periods of a pair go through one join with the promotions.
     """
-    keys, begin = ["whs_id", "art_id"], f"{side}_begin_dt"
-    event, period = (begin, f"{side}_end_dt"), ("beg_dt", "end_dt")
+    keys, event, promo = ["whs_id", "art_id"], ("begin_dt", "end_dt"), ("beg_dt", "end_dt")
+    both = F.array(
+        *[
+            F.struct(F.lit(side).alias("side"), F.col(f"{side}_begin_dt").alias("begin_dt"), F.col(f"{side}_end_dt").alias("end_dt"))
+            for side in SIDES
+        ]
+    )
+    periods = pairs.select(*keys, "algorithm_type", F.inline(both))
     campaigns = joins.overlapped(
-        pairs, campaign_intervals(promotions, since, s), keys, event, period, s.campaign_share, ["algorithm_type"]
+        periods, campaign_intervals(promotions, since, s), keys, event, promo, s.campaign_share,
+        ["side", "algorithm_type"],
     )
     calendar = joins.overlapped(
-        pairs, calendar_intervals(promotions, since, s), keys, event, period, s.calendar_share
+        periods, calendar_intervals(promotions, since, s), keys, event, promo, s.calendar_share, ["side"]
     )
-    both = campaigns.select(*keys, begin, "algorithm_type").unionByName(
-        calendar.select(*keys, begin, F.lit(None).cast("int").alias("algorithm_type"))
-    )
-    return both.distinct()
+    found = campaigns.drop("end_dt").unionByName(calendar.drop("end_dt"), allowMissingColumns=True)
+    return found.distinct()
 
 
-def without_promoted(pairs: DataFrame, promoted: dict[str, DataFrame]) -> DataFrame:
+def without_promoted(pairs: DataFrame, promoted: DataFrame) -> DataFrame:
     """One anti-join per period instead of one per period and kind of promotion."""
     kept = pairs
-    for side, periods in promoted.items():
-        begin = f"{side}_begin_dt"
-        p = periods.select(
+    for side in SIDES:
+        p = promoted.where(F.col("side") == side).select(
             F.col("whs_id").alias("p_whs"), F.col("art_id").alias("p_art"),
-            F.col(begin).alias("p_begin"), F.col("algorithm_type").alias("p_algorithm"),
+            F.col("begin_dt").alias("p_begin"), F.col("algorithm_type").alias("p_algorithm"),
         )
         same = (F.col("whs_id") == F.col("p_whs")) & (F.col("art_id") == F.col("p_art"))
         covers = F.col("p_algorithm").isNull() | (F.col("p_algorithm") == F.col("algorithm_type"))
-        kept = kept.join(p, same & (F.col(begin) == F.col("p_begin")) & covers, "left_anti")
+        kept = kept.join(p, same & (F.col(f"{side}_begin_dt") == F.col("p_begin")) & covers, "left_anti")
     return kept
 
 
@@ -193,9 +198,7 @@ def growth_measures(pairs: DataFrame, groups: DataFrame, warehouses: DataFrame)
 
 def rollup(rows: DataFrame, brands: bool = True) -> DataFrame:
     """Rows at every level of region and format, for all brands and for each brand."""
-    copies = levels.masked_levels(
-        rows, {"gs_fo_id": F.lit(-1), "frmt_id": F.lit(-1)}, FIXED_LEVELS
-    )
+    copies = levels.masked_levels(rows, {"gs_fo_id": F.lit(-1), "frmt_id": F.lit(-1)})
     options = F.array(F.lit(True), F.lit(False)) if brands else F.array(F.lit(True))
     copies = copies.withColumn("all_brands", F.explode(options))
     return copies.withColumn("brand", F.when(F.col("all_brands"), ALL).otherwise(F.col("brand")))
@@ -235,11 +238,11 @@ def trend_points(profile: DataFrame, keys: list[str], s: Settings) -> DataFrame:
 
 def level_points(rows: DataFrame, s: Settings, brands: bool = True) -> DataFrame:
     """Trend points of all rollup levels. ``rows`` is read once per pass, so it should be a
-    written table; the profile is written because the filters on it read it twice."""
-    keys = [*GROUP, *FIXED_LEVELS, *LEVEL]
-    copies = rollup(rows.drop(*FIXED_LEVELS), brands)
-    profile = materialise(trimmed_profile(copies, keys, s), "profile")
-    return trend_points(profile, keys, s).drop(*LEVEL)
+    written table; the profile is written because the filters on it read it twice. The
+    dimensions that are rolled up at every level join the key at the end."""
+    keys = [*GROUP, *LEVEL]
+    profile = materialise(trimmed_profile(rollup(rows, brands), keys, s), "profile")
+    return trend_points(profile, keys, s).drop(*LEVEL).withColumns({c: F.lit(-1) for c in FIXED_LEVELS})
 
 
 def fit_trends(points: DataFrame, group_levels: DataFrame, max_points: float = 15000.0) -> DataFrame:
@@ -269,10 +272,7 @@ def elasticity_trends(
     pairs = materialise(known_pairs(pairs, fine_groups, s), "pairs")
     since = horizon(pairs, s)
     recent = pairs.where(F.col("scnd_begin_dt") >= since)
-    promoted = {
-        side: materialise(promoted_periods(recent, promotions, since, side, s), f"promoted-{side}")
-        for side in ("scnd", "frst")
-    }
+    promoted = materialise(promoted_periods(recent, promotions, since, s), "promoted")
     fine = growth_measures(without_promoted(recent, promoted), fine_groups, regions)
     first = level_points(materialise(fine, "growth"), s)
 

@@ -7,6 +7,7 @@ price observation. Entities are lazy; columns that a query does not use are prun
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from shelfcurve.operators.windows import with_previous
 
@@ -16,8 +17,15 @@ LEVEL_IDS = {0: 1, 1: 1000, 2: 2000, 3: 3000}
 PERIOD_DAYS, CAMPAIGN_DAYS, CALENDAR_DAYS = 14, 21, 28
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. The schema is read from the files once; each later read spares that job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _type_index() -> Column:

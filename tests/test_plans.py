@@ -75,7 +75,7 @@ def promotions(rows, campaigns=(), calendar=()):
 
 def excluded(rows, pairs, promo):
     s, since = elasticity.Settings(), F.lit(D(2019, 1, 1))
-    promoted = {side: elasticity.promoted_periods(pairs, promo, since, side, s) for side in ("scnd", "frst")}
+    promoted = elasticity.promoted_periods(pairs, promo, since, s)
     return pairs.count() - elasticity.without_promoted(pairs, promoted).count()
 
 
