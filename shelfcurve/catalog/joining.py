@@ -137,9 +137,9 @@ def stats_join_back(spark, sf):
     from shelfcurve.operators.aggregates import mean_and_spread
 
     rows = retail.observations(spark, sf).select("art_id", "price")
-    stats = mean_and_spread(rows, ["art_id"], ["price"])
+    stats = mean_and_spread(rows, ["art_id"], ["price"], size="group_rows")
     far = F.abs(F.col("price") - F.col("avg_price")) > F.col("std_price") * 1.5
-    return rows.join(stats, "art_id").groupBy("art_id").agg(
+    return joins.join_group_stats(rows, stats, ["art_id"], "group_rows").groupBy("art_id").agg(
         F.count("*").alias("n"), F.count(F.when(far, 1)).alias("far")
     )
 

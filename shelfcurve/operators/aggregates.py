@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def mean_and_spread(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """Mean and population standard deviation of each value."""
-    aggs = [
+def mean_and_spread(df: DataFrame, keys: list[str], values: list[str], size: str | None = None) -> DataFrame:
+    """Mean and population standard deviation of each value; the number of rows as ``size``."""
+    aggs = [F.count("*").alias(size)] if size else []
+    aggs += [
         agg
         for v in values
         for agg in (F.avg(v).alias(f"avg_{v}"), F.stddev_pop(v).alias(f"std_{v}"))

@@ -209,8 +209,8 @@ def trimmed_profile(rows: DataFrame, keys: list[str], s: Settings) -> DataFrame:
     values = [f"prir_{m}" for m in s.metrics]
     bin_keys = [*keys, "skidgr"]
     bands = sigma_bands(rows, bin_keys, values, s.sigmas)
-    flags = {v: in_band(v) for v in values}
-    return aggregates.flagged_profile(rows.join(bands, bin_keys), bin_keys, "disc", flags)
+    banded = joins.join_group_stats(rows.select(*bin_keys, "disc", *values), bands, bin_keys, "group_rows")
+    return aggregates.flagged_profile(banded, bin_keys, "disc", {v: in_band(v) for v in values})
 
 
 def trend_points(profile: DataFrame, keys: list[str], s: Settings) -> DataFrame:

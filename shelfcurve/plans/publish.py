@@ -18,7 +18,7 @@ def publish_snapshot(
 
 
 def publish_to_database(
-    df: DataFrame, day: str, columns: list[str], connection: jdbc.Connection, table: str, writers: int = 1
+    df: DataFrame, day: str, columns: list[str], connection: jdbc.Connection, table: str, writers: int = 8
 ) -> bool:
     """Append the latest snapshot to a staging table; says whether there was anything."""
     newest = latest_snapshot(df, day).select(*columns)

@@ -50,6 +50,6 @@ def read_by_modulus(
 
 
 def append(df: DataFrame, connection: Connection, table: str, writers: int | None = None) -> None:
-    """Append rows to a table; ``writers`` limits the parallel connections."""
-    out = df.coalesce(writers) if writers else df
+    """Append rows to a table; ``writers`` sets the number of parallel connections."""
+    out = df.repartition(writers) if writers else df
     out.write.format("jdbc").options(**connection.options(), dbtable=table).mode("append").save()

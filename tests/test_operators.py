@@ -37,19 +37,20 @@ def flags_row_by_row(data, sigmas):
     return kept
 
 
-def trimmed(spark, data, sigmas=trim.SIGMAS):
+def trimmed(spark, data, sigmas=trim.SIGMAS, **kw):
     df = spark.createDataFrame(data, "k string, v double")
     kept = {k: [] for k, _ in data if k is not None}
-    for r in trim.sigma_trim(df, ["k"], ["v"], sigmas).where("flag_v = 1").collect():
+    for r in trim.sigma_trim(df, ["k"], ["v"], sigmas, **kw).where("flag_v = 1").collect():
         kept[r.k].append(r.v)
     return {k: sorted(v) for k, v in kept.items()}
 
 
-def test_sigma_trim_equals_row_by_row_flags(spark):
+@pytest.mark.parametrize("hot_rows", [0, 100, 10**6])
+def test_sigma_trim_equals_row_by_row_flags(spark, hot_rows):
     rng = random.Random(7)
-    data = [(f"g{i % 9}", round(rng.paretovariate(1.3), 4)) for i in range(900)]
+    data = [("g0" if i % 3 else f"g{i % 9}", round(rng.paretovariate(1.3), 4)) for i in range(900)]
     data += [("n", None), ("n", 1.0), ("n", 1.5)]
-    assert trimmed(spark, data) == flags_row_by_row(data, trim.SIGMAS)
+    assert trimmed(spark, data, hot_rows=hot_rows) == flags_row_by_row(data, trim.SIGMAS)
 
 
 def test_a_row_can_come_back(spark):
@@ -202,6 +203,30 @@ def test_lookup_prefers_the_specific_row(rows, values):
     assert values(found.select("a", "f", "v")) == [(1, 1, 10), (1, 2, 99), (2, 1, 88), (3, 1, None)]
 
 
+@pytest.mark.parametrize("hot_rows", [0, 5, 100])
+def test_group_stats_join(spark, values, hot_rows):
+    df = spark.createDataFrame([("hot" if i % 3 else f"k{i}", i) for i in range(60)] + [(None, 99)], "k string, v int")
+    stats = df.groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("top"))
+    got = joins.join_group_stats(df, stats, ["k"], "n", hot_rows)
+    assert got.columns == ["k", "v", "n", "top"]
+    assert values(got) == values(df.join(stats, "k"))
+
+
+def test_group_stats_join_spreads_a_hot_group(spark):
+    """Without a broadcast of the cold groups the hot one is not shuffled to one task."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(4000).select(F.when(F.col("id") % 3 > 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+        stats = df.groupBy("k").agg(F.count("*").alias("n"))
+        got = joins.join_group_stats(df, stats, ["k"], "n", 100)
+        sizes = [r["count"] for r in got.where("k = -1").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+
+
 def test_broadcast_only_within_the_bound(spark):
     small, large = spark.range(10).toDF("k"), spark.range(100).toDF("k")
     plans = [large.join(joins.broadcast_within(small, n), "k") for n in (10, 9)]

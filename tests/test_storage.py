@@ -85,6 +85,8 @@ def test_single_file_output(spark, tmp_path):
     path = str(tmp_path / "one")
     writers.overwrite_table(spark.range(100).repartition(8), path, single_file=True)
     assert len(list(Path(path).glob("part-*"))) == 1
+    with pytest.raises(ValueError):
+        writers.overwrite_table(spark.range(100), path, single_file=True, max_single_rows=99)
 
 
 @pytest.mark.parametrize("sep", [",", ";"])
