@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from shelfcurve.functions import dates, numeric, predicates
 from shelfcurve.operators import aggregates, joins, windows
 from shelfcurve.operators.filters import delete_where, window_before
+from shelfcurve.session import materialise
 
 PAIR = ["whs_id", "art_id"]
 PAIR_DAY = [*PAIR, "day_id"]
@@ -91,13 +92,24 @@ def holiday_factors(coefficients: DataFrame) -> DataFrame:
 
 
 def season_factors(coefficients: DataFrame) -> DataFrame:
-    """Mean factor per day of the year. Days join to it by month and day, so the table is
-    not multiplied by the years of the window."""
+    """Mean factor per day of the year."""
     return coefficients.groupBy(*FACTOR_GROUP, "yearday_id").agg(
         F.avg(numeric.floored_exp(F.col("koef_yearly"))).alias("coef_season")
     )
 
 
+def day_factors(holidays: DataFrame, seasons: DataFrame, s: Settings) -> DataFrame:
+    """Both factors per day of the window, so that the days of sales need one join for them."""
+    window = F.sequence(F.date_sub(s.today, s.days), F.date_sub(s.today, 1))
+    days = seasons.sparkSession.range(1).select(window.alias("days")).select(F.explode("days").alias("day_id"))
+    days = days.withColumn("yearday_id", dates.year_day(F.col("day_id")))
+    season = season_factors(seasons).join(days, "yearday_id").drop("yearday_id")
+    holiday = holiday_factors(window_before(holidays, "day_id", s.today, s.days))
+    return season.unionByName(holiday, allowMissingColumns=True).groupBy(*FACTOR_GROUP, "day_id").agg(
+        F.max("coef_season").alias("coef_season"), F.max("coef_holiday").alias("coef_holiday")
+    )
+
+
 def sale_reason(reason: Column, factual: Column, regular: Column, promo_discount: float) -> Column:
     """0 regular price day by reason but discounted, 1 promo reason without discount, 2 other."""
     code = F.coalesce(reason, F.lit(predicates.REGULAR_REASON))
@@ -136,13 +148,9 @@ def daily_frame(inputs: Inputs, sales: DataFrame, pairs: DataFrame, s: Settings)
             sale_reason(
                 F.col("reason_type_id"), F.col("factual_price"), F.col("regular_price"), s.promo_discount
             ).alias("sale_reason_type"),
-            dates.year_day(F.col("day_id")).alias("yearday_id"),
         )
     )
-    return (
-        rows.join(season_factors(inputs.seasons), [*FACTOR_GROUP, "yearday_id"], "left")
-        .join(holiday_factors(window_before(inputs.holidays, "day_id", s.today, s.days)), [*FACTOR_GROUP, "day_id"], "left")
-    )
+    return rows.join(day_factors(inputs.holidays, inputs.seasons, s), [*FACTOR_GROUP, "day_id"], "left")
 
 
 def training_summary(min_promo_days: int, window: WindowSpec | None = None) -> dict[str, Column]:
@@ -242,9 +250,12 @@ def baseline_rollup(rows: DataFrame) -> DataFrame:
 
 
 def training_frame(inputs: Inputs, s: Settings) -> DataFrame:
-    """Cleaned training days of all eligible pairs."""
+    """Cleaned training days of all eligible pairs.
+
+    The sales of the window are written once: the choice of pairs and the frame read them.
+    """
     promo = promo_days(inputs.calendar, s)
-    sales = on_promo_days(sales_in_window(inputs.sales, s), promo, s)
+    sales = materialise(on_promo_days(sales_in_window(inputs.sales, s), promo, s), "window-sales")
     pairs = with_elasticity(eligible_pairs(inputs, sales, s), inputs.elasticity)
     return deflated_sales(training_days(daily_frame(inputs, sales, pairs, s), s))
 
