@@ -21,26 +21,11 @@ def scan_table(spark, sf):
     )
 
 
-PEOPLE = T.StructType(
-    [
-        T.StructField("people_id", T.LongType()),
-        T.StructField("fio", T.StringType()),
-        T.StructField("city", T.IntegerType()),
-        T.StructField("sex", T.IntegerType()),
-        T.StructField("age", T.IntegerType()),
-    ]
-)
-
-
 @query("""
 SELECT c_custkey AS people_id, c_name AS fio, c_nationkey AS city, CAST(c_custkey % 2 AS INT) AS sex,
   CAST(18 + c_custkey % 60 AS INT) AS age FROM customer""")
 def dimension_seed(spark, sf):
-    people = table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("people_id"), F.col("c_name").alias("fio"), F.col("c_nationkey").alias("city"),
-        (F.col("c_custkey") % 2).cast("int").alias("sex"), (F.col("c_custkey") % 60 + 18).cast("int").alias("age"),
-    )
-    return people.to(PEOPLE)
+    return retail.people(spark, sf)
 
 
 @query("""

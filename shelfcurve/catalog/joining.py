@@ -148,11 +148,11 @@ def stats_join_back(spark, sf):
 SELECT c_mktsegment, n_name, p_brand, count(*) AS n, round(sum(l_quantity), 4) AS quantity
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-WHERE l_quantity >= 10 GROUP BY ALL""")
+GROUP BY ALL""")
 def star_join(spark, sf):
-    lines = table(spark, sf, "lineitem").where("l_quantity >= 10")
     return (
-        lines.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        table(spark, sf, "lineitem")
+        .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -162,10 +162,13 @@ def star_join(spark, sf):
     )
 
 
+MANY_SHOPS = 97  # an article sold by fewer warehouses has no general price
+
+
 @query(with_entities("observations warehouses", f"""
 WITH by_format AS (SELECT art_id, frmt_id, avg(price) AS mean_price FROM observations JOIN warehouses USING (whs_id)
   WHERE frmt_id <> 1 GROUP BY ALL),
-general AS (SELECT art_id, avg(price) AS mean_price FROM observations WHERE art_id % 4 <> 0 GROUP BY ALL)
+general AS (SELECT art_id, avg(price) AS mean_price FROM observations GROUP BY ALL HAVING count(DISTINCT whs_id) >= {MANY_SHOPS})
 SELECT p.whs_id, p.art_id, p.frmt_id, {four_digits_sql('coalesce(f.mean_price, g.mean_price)')} AS mean_price
 FROM (SELECT DISTINCT whs_id, art_id, frmt_id FROM observations JOIN warehouses USING (whs_id)) p
 LEFT JOIN by_format f ON p.art_id = f.art_id AND p.frmt_id = f.frmt_id LEFT JOIN general g ON p.art_id = g.art_id"""))
@@ -174,7 +177,8 @@ def lookup_with_fallback(spark, sf):
     rows = rows.join(retail.warehouses(spark, sf).select("whs_id", "frmt_id"), "whs_id")
     mean = F.avg("price").alias("mean_price")
     specific = rows.where("frmt_id <> 1").groupBy("art_id", "frmt_id").agg(mean)
-    generic = rows.where("art_id % 4 <> 0").groupBy("art_id").agg(mean)
+    general = rows.groupBy("art_id").agg(mean, F.countDistinct("whs_id").alias("shops"))
+    generic = general.where(F.col("shops") >= MANY_SHOPS).drop("shops")
     found = joins.lookup_with_fallback(
         rows.select("whs_id", "art_id", "frmt_id").distinct(), specific, generic,
         ["art_id", "frmt_id"], ["art_id"], ["mean_price"],
@@ -199,13 +203,13 @@ def partition_row_counts(spark, sf):
 SELECT r_name, n_name, count(*) AS people FROM customer JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
 def dimension_chain(spark, sf):
-    return (
-        table(spark, sf, "customer")
-        .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .groupBy("r_name", "n_name")
-        .agg(F.count("*").alias("people"))
-    )
+    """Person, city and region as typed dimensions."""
+    people = retail.people(spark, sf)
+    cities = retail.cities(spark, sf).select(F.col("id").alias("city"), "region_id", F.col("name").alias("n_name"))
+    regions = retail.regions(spark, sf).select(F.col("id").alias("region_id"), F.col("name").alias("r_name"))
+    # counted per city first, so the dimensions meet one row per city
+    counted = people.groupBy("city").agg(F.count("*").alias("people"))
+    return counted.join(cities, "city").join(regions, "region_id").select("r_name", "n_name", "people")
 
 
 @query("""

@@ -28,6 +28,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+PEOPLE = "people_id bigint, fio string, city int, sex int, age int"
+CITIES = "id int, region_id int, name string"
+REGIONS = "id int, district_id int, name string"
+
+
+def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as a typed dimension of persons."""
+    key = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(
+        key.alias("people_id"), F.col("c_name").alias("fio"), F.col("c_nationkey").alias("city"),
+        (key % 2).cast("int").alias("sex"), (key % 60 + 18).cast("int").alias("age"),
+    )
+    return rows.to(StructType.fromDDL(PEOPLE))
+
+
+def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "nation").toDF("id", "name", "region_id")
+    return rows.to(StructType.fromDDL(CITIES))
+
+
+def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("id"), (F.col("r_regionkey") % 2).alias("district_id"), F.col("r_name").alias("name")
+    )
+    return rows.to(StructType.fromDDL(REGIONS))
+
+
 def _type_index() -> Column:
     return F.array_position(F.array(*[F.lit(t) for t in PART_TYPES]), F.col("p_type")).cast("int") - 1
 
