@@ -8,7 +8,7 @@ from shelfcurve.catalog.entities_sql import DISCOUNT_BIN, with_entities
 from shelfcurve.catalog.registry import query
 from shelfcurve.functions import dates, numeric, predicates, text
 from shelfcurve.operators import filters
-from shelfcurve.plans import elasticity
+from shelfcurve.plans import baseline, elasticity
 from shelfcurve.session import new_path
 from shelfcurve.sources import readers, retail, writers
 from shelfcurve.sources.retail import table
@@ -192,13 +192,11 @@ SELECT CASE WHEN reason_type_id IN (21001, 24062) THEN 1 WHEN reason_type_id = 2
     WHEN coalesce(reason_type_id, 24185) = 24185 AND 1 - sale / gross >= 0.05 THEN 0 ELSE 2 END AS sale_reason,
   count(*) AS n FROM daily LEFT JOIN reasons USING (action_type_id) GROUP BY ALL"""))
 def classify_reason(spark, sf):
-    from shelfcurve.plans.baseline import sale_reason
-
     reason = F.col("reason_type_id")
     rows = retail.daily_sales(spark, sf).join(retail.reasons_of_actions(spark, sf), "action_type_id", "left")
     codes = rows.select(
         predicates.classify(reason, predicates.REASON_TYPES, predicates.OTHER_REASON).alias("aum_type_id"),
-        sale_reason(reason, F.col("sale"), F.col("gross"), 0.05).alias("sale_reason"),
+        baseline.sale_reason(reason, F.col("sale"), F.col("gross"), 0.05).alias("sale_reason"),
     )
     return codes.groupBy("aum_type_id", "sale_reason").agg(F.count("*").alias("n"))
 

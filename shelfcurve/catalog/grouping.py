@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from shelfcurve.catalog.entities_sql import with_entities
 from shelfcurve.catalog.registry import four_digits, four_digits_sql, query
+from shelfcurve.functions import dates
 from shelfcurve.operators import aggregates, levels, reshape
 from shelfcurve.operators.trim import sigma_trim as trim_by_sigma
 from shelfcurve.plans import baseline, elasticity
@@ -97,10 +100,8 @@ FROM seasons JOIN days ON yearday_id = month(day_id) * 100 + day(day_id) GROUP B
 SELECT frmt_id, branch_id, cluster_id, art_grp_lvl_3_id, count(*) AS days, round(sum(coef_season), 4) AS total,
   round(min(coef_season), 4) AS lowest, round(max(coef_season), 4) AS highest FROM factors GROUP BY ALL"""))
 def seasonality_factor(spark, sf):
-    from shelfcurve.functions.dates import year_day
-
     factors = baseline.season_factors(retail.season_coefficients(spark, sf))
-    days = retail.calendar(spark, sf).select(year_day(F.col("day_id")).alias("yearday_id"))
+    days = retail.calendar(spark, sf).select(dates.year_day(F.col("day_id")).alias("yearday_id"))
     daily = factors.join(days, "yearday_id")
     return daily.groupBy(*baseline.FACTOR_GROUP).agg(
         F.count("*").alias("days"), F.round(F.sum("coef_season"), 4).alias("total"),
@@ -273,8 +274,6 @@ SELECT 'customer' AS table_name, DATE '2024-01-01' AS taken_at, count(*) AS row_
 UNION ALL SELECT 'lineitem', DATE '2024-01-01', count(*), round(avg(68 + strlen(l_returnflag) + strlen(l_linestatus)), 4) FROM lineitem
 UNION ALL SELECT 'documents', DATE '2024-01-01', count(*), round(avg(16 + strlen(text) + strlen(lang) + strlen(source)), 4) FROM documents""")
 def table_profile(spark, sf):
-    from functools import reduce
-
     taken = F.lit("2024-01-01").cast("date")
     profiles = [
         aggregates.table_profile(table(spark, sf, name), name, taken) for name in ("customer", "lineitem", "documents")

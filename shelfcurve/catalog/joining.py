@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfcurve.catalog.entities_sql import with_entities
 from shelfcurve.catalog.registry import four_digits, four_digits_sql, query
 from shelfcurve.functions import dates
-from shelfcurve.operators import joins
+from shelfcurve.operators import aggregates, joins
 from shelfcurve.sources import retail
 from shelfcurve.sources.retail import table
 
@@ -134,10 +134,8 @@ SELECT art_id, count(*) AS n, count(CASE WHEN abs(price - m) > 1.5 * sd THEN 1 E
 FROM observations JOIN (SELECT art_id, avg(price) AS m, stddev_pop(price) AS sd FROM observations GROUP BY ALL) USING (art_id)
 GROUP BY ALL"""))
 def stats_join_back(spark, sf):
-    from shelfcurve.operators.aggregates import mean_and_spread
-
     rows = retail.observations(spark, sf).select("art_id", "price")
-    stats = mean_and_spread(rows, ["art_id"], ["price"], size="group_rows")
+    stats = aggregates.mean_and_spread(rows, ["art_id"], ["price"], size="group_rows")
     far = F.abs(F.col("price") - F.col("avg_price")) > F.col("std_price") * 1.5
     return joins.join_group_stats(rows, stats, ["art_id"], "group_rows").groupBy("art_id").agg(
         F.count("*").alias("n"), F.count(F.when(far, 1)).alias("far")
