@@ -30,7 +30,7 @@ from shelfcurve.llm.sais import permuted_lcp, suffix_array
 from shelfcurve.session import materialise
 
 LENGTH = 200
-GRAM = 16
+GRAM = 64
 SHARD = 400_000
 HOT = 2_000
 
@@ -40,12 +40,13 @@ _BASE = 0xD6E8FEB86659FD93
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the ``GRAM`` bytes at each place."""
     n = len(data) - GRAM + 1
+    word = np.zeros(len(data) - 7, np.uint64)
+    for j in range(8):
+        word |= data[j : j + len(word)].astype(np.uint64) << np.uint64(8 * j)
     x = np.zeros(n, np.uint64)
     for k in range(0, GRAM, 8):
-        word = np.zeros(n, np.uint64)
-        for j in range(8):
-            word |= data[k + j : k + j + n].astype(np.uint64) << np.uint64(8 * j)
-        x = (x ^ word) * np.uint64(_BASE)
+        x ^= word[k : k + n]
+        x *= np.uint64(_BASE)
         x ^= x >> np.uint64(32)
     x *= np.uint64(0x9FB21C651E98DF25)
     return x ^ (x >> np.uint64(28))
@@ -82,27 +83,30 @@ def _digest(data: bytes) -> bytes:
 
 
 def _outline(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(th, anchor, start, end) of every region of every text."""
+    """(doc, anchor, region) of every region of every text; ``region`` is start * 2^12 + size."""
     for batch in (part for whole in batches for part in slices(whole, 4 << 20)):
-        th, found = [], []
-        for t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            parts = regions(_encode(text), length)
-            th += [t] * len(parts[0])
-            found.append(parts)
-        columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
-        yield pa.RecordBatch.from_arrays([pa.array(th, pa.binary()), columns[0], columns[1].cast(pa.int32()), columns[2].cast(pa.int32())], ["th", "anchor", "start", "end"])
+        doc, anchor, region = [], [], []
+        for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            key, start, end = regions(_encode(text), length)
+            doc.append(np.full(len(key), d))
+            anchor.append(key)
+            region.append(start << 12 | end - start)
+        columns = [pa.array(np.concatenate(c), pa.int64()) for c in (doc, anchor, region)]
+        yield pa.RecordBatch.from_arrays(columns, ["doc", "anchor", "region"])
 
 
 def _cut_regions(batches: Iterator[pa.RecordBatch], with_bytes: bool) -> Iterator[pa.RecordBatch]:
-    """(anchor, rh, data) or (anchor, rh, th, start) of the marked regions of (th, text, marks)."""
+    """(anchor, rh, doc, region) of the marked regions of (doc, text, marks), or (anchor, rh, n, data)
+    of those that stand for all that are equal to them."""
     for batch in (part for whole in batches for part in slices(whole, 4 << 20)):
         rows: list[tuple] = []
         size = 0
-        for th, text, marks in zip(*(batch.column(k).to_pylist() for k in range(3))):
+        for doc, text, marks in zip(*(batch.column(k).to_pylist() for k in range(3))):
             data = _encode(text)
             for m in marks:
-                piece = data[m["start"] : m["end"]]
-                rows.append((m["anchor"], _digest(piece), piece) if with_bytes else (m["anchor"], _digest(piece), th, m["start"]))
+                piece = data[(at := m["region"] >> 12) : at + (m["region"] & 4095)]
+                digest = _digest(piece)
+                rows.append((m["anchor"], digest, m["n"], piece) if with_bytes else (m["anchor"], digest, doc, m["region"]))
                 size += len(piece)
                 if size > 16 << 20:
                     yield _region_batch(rows, with_bytes)
@@ -112,8 +116,8 @@ def _cut_regions(batches: Iterator[pa.RecordBatch], with_bytes: bool) -> Iterato
 
 
 def _region_batch(rows: list[tuple], with_bytes: bool) -> pa.RecordBatch:
-    names = ["anchor", "rh", "data"] if with_bytes else ["anchor", "rh", "th", "start"]
-    kinds = [pa.int64(), pa.binary(), pa.binary()] + [pa.int32()] * (not with_bytes)
+    names = ["anchor", "rh", "n", "data"] if with_bytes else ["anchor", "rh", "doc", "region"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary() if with_bytes else pa.int64()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
@@ -210,25 +214,29 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, ho
     keeps nothing. Rows with equal texts are places of their own: a repeated text of at least
     ``length`` bytes is removed whole. Texts shorter than that stay. Only doc_id and text are read.
     """
-    if length < GRAM:
-        raise ValueError(f"strings of fewer than {GRAM} bytes have no anchor")
+    if not GRAM <= length <= 2000:
+        raise ValueError(f"strings need {GRAM} bytes for an anchor, and their regions fewer than 4096")
     ship(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     named = docs.select("doc_id", text.alias("text")).withColumn("th", F.unhex(F.md5("text")))
     plain = materialise(named.select("doc_id", "th", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("plain")), "texts")
-    long = named.where(F.octet_length("text") >= length).select("th", "text")
     copies = plain.groupBy("th").agg(F.count("*").alias("copies"))
+    long = named.where(F.octet_length("text") >= length).select(F.xxhash64("th").alias("doc"), "th", "text")
 
-    outline = long.mapInArrow(lambda it: _outline(it, length), "th binary, anchor bigint, start int, end int")
-    outline = materialise(outline, "outline")
+    # to keep the shuffles narrow a text goes by 64 bits here: n texts share one with odds of n^2 / 2^65
+    outline = materialise(long.select("doc", "text").mapInArrow(lambda it: _outline(it, length), "doc bigint, anchor bigint, region bigint"), "outline")
     again = outline.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    marks = outline.join(again, "anchor").groupBy("th").agg(F.collect_set(F.struct("anchor", "start", "end")).alias("marks"))
-    one = long.groupBy("th").agg(F.first("text").alias("text"))
-    marked = materialise(one.join(marks, "th").select("th", "text", "marks"), "marked")
-
-    cut = marked.mapInArrow(lambda it: _cut_regions(it, True), "anchor bigint, rh binary, data binary")
-    distinct = cut.groupBy("anchor", "rh").agg(F.first("data").alias("data"), F.count("*").alias("n")).select("anchor", "rh", "data", "n")
-    distinct = materialise(distinct, "regions")
+    marks = outline.join(again, "anchor").groupBy("doc").agg(F.collect_set(F.struct("anchor", "region", F.lit(1).cast("bigint").alias("n"))).alias("marks"))
+    one = long.groupBy("doc", "th").agg(F.first("text").alias("text"))
+    marked = materialise(one.join(marks, "doc").select("doc", "th", "text", "marks"), "marked")
+
+    cut = marked.select("doc", "text", "marks").mapInArrow(lambda it: _cut_regions(it, False), "anchor bigint, rh binary, doc bigint, region bigint")
+    cut = materialise(cut, "cut")
+    # one region stands for all equal ones; only its bytes are shuffled
+    chosen = cut.groupBy("anchor", "rh").agg(F.min(F.struct("doc", "region")).alias("first"), F.count("*").alias("n"))
+    chosen = chosen.groupBy(F.col("first.doc").alias("doc")).agg(F.collect_list(F.struct("anchor", F.col("first.region").alias("region"), "n")).alias("chosen"))
+    distinct = marked.select("doc", "text").join(chosen, "doc").mapInArrow(lambda it: _cut_regions(it, True), "anchor bigint, rh binary, n bigint, data binary")
+    distinct = materialise(distinct.select("anchor", "rh", "data", "n"), "regions")
     crowded = materialise(distinct.groupBy("anchor").agg(F.count("*").alias("k")).where(F.col("k") > hot).select("anchor"), "crowded")
     dealt = distinct.join(crowded, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
     solved = dealt.mapInArrow(lambda it: _shards(it, length, shard), "anchor bigint, rh binary, spans array<array<int>>")
@@ -241,11 +249,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, ho
     hot_spans = strings.join(twice, "window").groupBy("anchor", "rh").agg(F.collect_list(span).alias("spans"))
     spans = materialise(solved.unionByName(hot_spans), "spans")
 
-    where = marked.mapInArrow(lambda it: _cut_regions(it, False), "anchor bigint, rh binary, th binary, start int")
-    found = where.join(spans, ["anchor", "rh"]).select("th", "start", F.explode("spans").alias("s"))
-    by_text = found.select("th", F.struct((F.col("start") + F.col("s")[0]).alias("from"), (F.col("start") + F.col("s")[1]).alias("to")).alias("span"))
-    by_text = by_text.groupBy("th").agg(F.collect_list("span").alias("spans"))
-    changed = marked.select("th", "text").join(by_text, "th").select("th", "text", "spans").mapInArrow(
+    place = F.shiftright("region", 12)
+    found = cut.join(spans, ["anchor", "rh"]).select("doc", place.alias("start"), F.explode("spans").alias("s"))
+    by_text = found.select("doc", F.struct((F.col("start") + F.col("s")[0]).alias("from"), (F.col("start") + F.col("s")[1]).alias("to")).alias("span"))
+    by_text = by_text.groupBy("doc").agg(F.collect_set("span").alias("spans"))
+    changed = marked.select("doc", "th", "text").join(by_text, "doc").select("th", "text", "spans").mapInArrow(
         lambda it: _remove(it, length), "th binary, n_removed bigint, n_spans bigint, kept_sha256 string, removed array<array<int>>"
     )
     changed = materialise(changed, "changed")

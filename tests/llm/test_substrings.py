@@ -49,7 +49,7 @@ def test_hot_anchors_and_small_shards(spark):
     want = plain(docs)
     for hot, shard in [(2000, 400_000), (5, 400_000), (2000, 2000)]:
         assert told(substrings.remove_repeats(frame, shard=shard, hot=hot)) == want
-    assert told(substrings.remove_repeats(frame, length=40)) == plain(docs, 40)
+    assert told(substrings.remove_repeats(frame, length=70)) == plain(docs, 70)
 
 
 def test_odd_rows(spark):
