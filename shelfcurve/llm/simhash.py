@@ -238,5 +238,6 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """
     found = near_duplicates(docs, shingle)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    one = docs.join(materialise(kept, "kept"), docs["doc_id"] == F.col("_kept"), "left_semi")
+    # joined alike at every size, so that the shuffle of texts follows the input
+    one = docs.join(materialise(kept, "kept").hint("merge"), docs["doc_id"] == F.col("_kept"), "left_semi")
     return one.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
