@@ -157,12 +157,12 @@ def trim_sql(source: str, keys: list[str], values: list[str], sigmas=(3.0, 2.5,
 @query(with_entities("growth", f"""
 WITH {trim_sql('growth', BIN_KEYS, METRICS)}
 SELECT grp_art_id, skidgr, count(*) AS n, {', '.join(f"count(CASE WHEN flag_{m} THEN 1 END) AS kept_{m}" for m in METRICS)}
-FROM pass4 GROUP BY ALL HAVING count(*) >= 10"""))
+FROM pass4 GROUP BY ALL"""))
 def sigma_trim(spark, sf):
     rows = materialise(growth(spark, sf), "growth")
     flagged = trim_by_sigma(rows, BIN_KEYS, METRICS)
     kept = [F.sum(f"flag_{m}").alias(f"kept_{m}") for m in METRICS]
-    return flagged.groupBy(*BIN_KEYS).agg(F.count("*").alias("n"), *kept).where("n >= 10")
+    return flagged.groupBy(*BIN_KEYS).agg(F.count("*").alias("n"), *kept)
 
 
 def growth_groups(spark, sf):

@@ -80,9 +80,8 @@ def surrogate_key(spark, sf):
 @query("""
 WITH snapshots AS (SELECT 'orders' AS table_name, date_trunc('month', CAST(o_orderdate AS DATE))::DATE AS taken_at, count(*) AS row_count
     FROM orders GROUP BY ALL
-  UNION ALL SELECT 'lineitem', date_trunc('month', CAST(l_shipdate AS DATE))::DATE, count(*) FROM lineitem GROUP BY ALL),
-kept AS (SELECT * FROM snapshots QUALIFY row_number() OVER (PARTITION BY table_name ORDER BY taken_at DESC) <= 50)
-SELECT *, row_count - lag(row_count) OVER (PARTITION BY table_name ORDER BY taken_at) AS change FROM kept""")
+  UNION ALL SELECT 'lineitem', date_trunc('month', CAST(l_shipdate AS DATE))::DATE, count(*) FROM lineitem GROUP BY ALL)
+SELECT *, row_count - lag(row_count) OVER (PARTITION BY table_name ORDER BY taken_at) AS change FROM snapshots""")
 def profile_drift(spark, sf):
     """A monthly history of row counts, as kept by repeated profiles."""
     def monthly(name, day):
@@ -91,7 +90,7 @@ def profile_drift(spark, sf):
         return counted.withColumn("table_name", F.lit(name))
 
     history = monthly("orders", "o_orderdate").unionByName(monthly("lineitem", "l_shipdate"))
-    return windows.change_between_snapshots(history, "table_name", "taken_at", "row_count", keep=50)
+    return windows.change_between_snapshots(history, "table_name", "taken_at", "row_count")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")

@@ -159,8 +159,9 @@ def stream_upsert(spark, sf):
     schema = table(spark, sf, "events").schema
     path, checkpoint = new_path(spark, "mirror"), new_path(spark, "mirror-checkpoint")
     stream = mirror.file_stream(spark, sf, schema, "events.parquet").select(*columns)
-    mirror.upsert_stream(stream, path, checkpoint, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()])
-    return mirror.read_mirror(spark, path, ["user_id"]).drop("ts")
+    newest_first = [F.col("ts").desc(), F.col("event_id").desc()]
+    mirror.upsert_stream(stream, path, checkpoint, ["user_id"], newest_first)
+    return mirror.read_mirror(spark, path, ["user_id"], newest_first).drop("ts")
 
 
 @query("SELECT event_id, event_type, value, CAST(ts AS DATE) AS day_id FROM events")

@@ -102,9 +102,7 @@ def span_filter(df: DataFrame, keys: list[str], value: str, more_than: int, span
     return semi_null_safe(df, wide, keys)
 
 
-def change_between_snapshots(snapshots: DataFrame, table: str, taken: str, rows: str, keep: int = 50) -> DataFrame:
-    """Change of the row count between successive snapshots, for the ``keep`` latest ones."""
-    newest = F.row_number().over(Window.partitionBy(table).orderBy(F.col(taken).desc()))
-    kept = snapshots.withColumn("_age", newest).where(F.col("_age") <= keep).drop("_age")
+def change_between_snapshots(snapshots: DataFrame, table: str, taken: str, rows: str) -> DataFrame:
+    """Change of the row count between successive snapshots; NULL for the first of a table."""
     previous = F.lag(rows).over(Window.partitionBy(table).orderBy(taken))
-    return kept.withColumn("change", F.col(rows) - previous)
+    return snapshots.withColumn("change", F.col(rows) - previous)

@@ -38,15 +38,18 @@ def upsert_stream(
     return query
 
 
-def read_mirror(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The current row of each key: that of the latest batch."""
+def read_mirror(spark: SparkSession, path: str, keys: list[str], newest_first: list) -> DataFrame:
+    """The current row of each key: the newest by ``newest_first``, whenever it arrived.
+
+    Rows that are equal in that order count by their batch, the later one first.
+    """
     batches = spark.read.parquet(path)
-    return first_per_key(batches, keys, [F.col("batch_id").desc()]).drop("batch_id")
+    return first_per_key(batches, keys, [*newest_first, F.col("batch_id").desc()]).drop("batch_id")
 
 
-def compact_mirror(spark: SparkSession, path: str, new_path: str, keys: list[str]) -> DataFrame:
+def compact_mirror(spark: SparkSession, path: str, new_path: str, keys: list[str], newest_first: list) -> DataFrame:
     """Write the current rows as the first batch of a new mirror."""
-    read_mirror(spark, path, keys).write.mode("errorifexists").parquet(f"{new_path}/batch_id=-1")
+    read_mirror(spark, path, keys, newest_first).write.mode("errorifexists").parquet(f"{new_path}/batch_id=-1")
     return spark.read.parquet(new_path)
 
 

@@ -272,11 +272,12 @@ def test_best_per_key_keeps_ties(rows, values):
     assert values(best.select("k", "v")) == [(1, "a"), (1, "b"), (2, "d")]
 
 
-def test_change_between_snapshots_keeps_the_latest(rows, values):
-    df = rows("t string, at int, n bigint", *[("x", i, i * i) for i in range(5)])
-    assert values(windows.change_between_snapshots(df, "t", "at", "n", keep=3).select("at", "change")) == [
-        (2, None), (3, 5), (4, 7),
+def test_change_between_snapshots_keeps_all(rows, values):
+    df = rows("t string, at int, n bigint", *[("x", i, i * i) for i in range(80)])
+    assert values(windows.change_between_snapshots(df, "t", "at", "n").where("at < 4").select("at", "change")) == [
+        (0, None), (1, 1), (2, 3), (3, 5),
     ]
+    assert windows.change_between_snapshots(df, "t", "at", "n").count() == 80
 
 
 # --- levels, reshape, tables ----------------------------------------------------------

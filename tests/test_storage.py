@@ -56,14 +56,15 @@ def test_mirror_follows_later_batches(spark, rows, values, tmp_path):
     def run():
         stream = mirror.file_stream(spark, source, T.StructType.fromDDL(schema))
         mirror.upsert_stream(stream, path, checkpoint, ["k"], [F.col("at").desc()])
-        return values(mirror.read_mirror(spark, path, ["k"]).select("k", "v"))
+        return values(mirror.read_mirror(spark, path, ["k"], [F.col("at").desc()]).select("k", "v"))
 
     assert run() == [(1, "b"), (2, "x")]
-    rows(schema, (1, "c", 0), (3, "n", 1)).coalesce(1).write.mode("append").parquet(source)
-    assert run() == [(1, "c"), (2, "x"), (3, "n")]
-    assert run() == [(1, "c"), (2, "x"), (3, "n")]  # nothing new
-    compact = mirror.compact_mirror(spark, path, str(tmp_path / "compact"), ["k"])
-    assert values(compact.select("k", "v")) == [(1, "c"), (2, "x"), (3, "n")]
+    # an older change of 1 that comes late, a newer one of 2
+    rows(schema, (1, "c", 0), (2, "y", 5), (3, "n", 1)).coalesce(1).write.mode("append").parquet(source)
+    assert run() == [(1, "b"), (2, "y"), (3, "n")]
+    assert run() == [(1, "b"), (2, "y"), (3, "n")]  # nothing new
+    compact = mirror.compact_mirror(spark, path, str(tmp_path / "compact"), ["k"], [F.col("at").desc()])
+    assert values(compact.select("k", "v")) == [(1, "b"), (2, "y"), (3, "n")]
 
 
 def test_jdbc_options():
