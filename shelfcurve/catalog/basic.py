@@ -95,8 +95,10 @@ def text_pair_swap(spark, sf):
     )
     path = new_path(spark, "pairs-text")
     table(spark, sf, "events").select(line.alias("value")).write.text(path)
-    swapped = readers.read_text_pairs(spark, path).select(text.swap_pair(F.col("value")).alias("pair"))
-    return swapped.groupBy("pair").agg(F.count("*").alias("n"))
+    swapped = readers.read_text_pairs(spark, path).select(text.swap_pair(F.col("value")).alias("value"))
+    out = new_path(spark, "swapped-text")
+    swapped.write.text(out)
+    return spark.read.text(out).withColumnRenamed("value", "pair").groupBy("pair").agg(F.count("*").alias("n"))
 
 
 @query("""

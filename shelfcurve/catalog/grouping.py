@@ -114,9 +114,13 @@ SELECT CASE WHEN m & 1 <> 0 THEN gs_fo_id ELSE -1 END AS gs_fo_id, CASE WHEN m &
   CAST(m AS INT) AS level_mask, count(*) AS n, round(avg(prir_sale), 4) AS mean_growth
 FROM growth, range(4) r(m) GROUP BY ALL"""))
 def masked_levels(spark, sf):
-    copies = levels.masked_levels(growth(spark, sf), {"gs_fo_id": F.lit(-1), "frmt_id": F.lit(-1)})
+    """Sums per region and format first; the copies are made of those, not of rows."""
+    sums = growth(spark, sf).groupBy("gs_fo_id", "frmt_id").agg(
+        F.count("*").alias("n"), F.sum("prir_sale").alias("s"), F.count("prir_sale").alias("known")
+    )
+    copies = levels.masked_levels(sums, {"gs_fo_id": F.lit(-1), "frmt_id": F.lit(-1)})
     return copies.groupBy("gs_fo_id", "frmt_id", "level_mask").agg(
-        F.count("*").alias("n"), F.round(F.avg("prir_sale"), 4).alias("mean_growth")
+        F.sum("n").alias("n"), F.round(F.try_divide(F.sum("s"), F.sum("known")), 4).alias("mean_growth")
     )
 
 

@@ -8,6 +8,7 @@ from shelfcurve.catalog.entities_sql import with_entities
 from shelfcurve.catalog.registry import four_digits, four_digits_sql, query
 from shelfcurve.functions import dates
 from shelfcurve.operators import aggregates, joins
+from shelfcurve.session import materialise
 from shelfcurve.sources import retail
 from shelfcurve.sources.retail import table
 
@@ -28,11 +29,11 @@ def join_inner(spark, sf):
 SELECT n_name, count(*) AS n, round(avg(l_extendedprice), 4) AS mean_price FROM lineitem
 JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL""")
 def join_broadcast(spark, sf):
-    """The broadcast is hinted after the number of rows is checked."""
+    """Nations are of a fixed number and hinted; for suppliers the planner checks the size."""
     shops = table(spark, sf, "supplier").join(
-        joins.broadcast_within(table(spark, sf, "nation")), F.col("s_nationkey") == F.col("n_nationkey")
+        F.broadcast(table(spark, sf, "nation")), F.col("s_nationkey") == F.col("n_nationkey")
     )
-    small = joins.broadcast_within(shops.select("s_suppkey", "n_name"))
+    small = shops.select("s_suppkey", "n_name")
     return (
         table(spark, sf, "lineitem")
         .join(small, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -132,10 +133,11 @@ SELECT art_id, count(*) AS n, count(CASE WHEN abs(price - m) > 1.5 * sd THEN 1 E
 FROM observations JOIN (SELECT art_id, avg(price) AS m, stddev_pop(price) AS sd FROM observations GROUP BY ALL) USING (art_id)
 GROUP BY ALL"""))
 def stats_join_back(spark, sf):
-    rows = retail.observations(spark, sf).select("art_id", "price")
-    stats = aggregates.mean_and_spread(rows, ["art_id"], ["price"], size="group_rows")
+    # written once, as it is read for the statistics and for the join
+    rows = materialise(retail.observations(spark, sf).select("art_id", "price"), "prices")
+    stats = aggregates.mean_and_spread(rows, ["art_id"], ["price"])
     far = F.abs(F.col("price") - F.col("avg_price")) > F.col("std_price") * 1.5
-    return joins.join_group_stats(rows, stats, ["art_id"], "group_rows").groupBy("art_id").agg(
+    return joins.join_group_stats(rows, stats, ["art_id"]).groupBy("art_id").agg(
         F.count("*").alias("n"), F.count(F.when(far, 1)).alias("far")
     )
 

@@ -35,7 +35,7 @@ def first_per_key(spark, sf):
 @query(GROUP_PRICES_SQL + MATCHED + """
 QUALIFY rank() OVER (PARTITION BY art_id ORDER BY art_grp_lvl DESC, CASE WHEN brand = '-1' THEN 1 ELSE 0 END) = 1""")
 def best_match_rank(spark, sf):
-    order = [("by_level", -F.col("art_grp_lvl")), ("by_brand", (F.col("brand") == "-1").cast("int"))]
+    order = [-F.col("art_grp_lvl"), (F.col("brand") == "-1").cast("int")]
     best = windows.best_per_key(matched_groups(spark, sf), ["art_id"], order)
     return best.withColumn("mean_price", four_digits(F.col("mean_price")))
 

@@ -22,14 +22,15 @@ def query(sql: str | None = None):
     return register
 
 
-# A mean of prices often ends in a five after the digits that are shown. A threshold next
-# to one half decides it alike in both engines, whatever the order of their sums.
-_HALF = 0.4937
+# A mean of prices often ends in a five after the digits that are shown, and a sum of doubles
+# depends on its order in the last bits. Eight decimal digits hide those bits; the rest is a
+# plain rounding of decimals, half away from zero, alike in both engines.
+_EXACT = "DECIMAL(28, 8)"
 
 
 def four_digits(column: Column) -> Column:
-    return F.floor(column * 10000.0 + _HALF).cast("double") / 10000.0
+    return F.round(column.cast(_EXACT.lower()), 4).cast("double")
 
 
 def four_digits_sql(expression: str) -> str:
-    return f"floor(({expression}) * 10000.0::DOUBLE + {_HALF}::DOUBLE) / 10000.0::DOUBLE"
+    return f"CAST(round(CAST({expression} AS {_EXACT}), 4) AS DOUBLE)"

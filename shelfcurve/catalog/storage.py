@@ -17,9 +17,9 @@ from shelfcurve.streaming import mirror
 @query("SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY ALL")
 def write_overwrite(spark, sf):
     orders, path = table(spark, sf, "orders"), new_path(spark, "overwrite")
-    writers.overwrite_table(orders.groupBy("o_orderstatus").count(), path, single_file=True)
+    writers.overwrite_table(orders.groupBy("o_orderstatus").count(), path)
     totals = orders.groupBy("o_custkey").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
-    return writers.overwrite_table(totals, path)
+    return writers.overwrite_table(totals, path, partitions=4)
 
 
 @query("""
@@ -154,13 +154,19 @@ def clean_names(spark, sf):
 @query("""
 SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def stream_upsert(spark, sf):
-    """A mirror with the newest event of each user."""
+    """A mirror with the newest event of each user. The events come in several batches, the
+    newer half first, so the order of arrival is not that of the events."""
     columns = ["user_id", "event_id", "event_type", "value", "ts"]
     schema = table(spark, sf, "events").schema
     path, checkpoint = new_path(spark, "mirror"), new_path(spark, "mirror-checkpoint")
-    stream = mirror.file_stream(spark, sf, schema, "events.parquet").select(*columns)
+    events, folder = table(spark, sf, "events"), new_path(spark, "mirror-input")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    middle = events.agg(F.percentile_approx(micros, 0.5)).scalar()
     newest_first = [F.col("ts").desc(), F.col("event_id").desc()]
-    mirror.upsert_stream(stream, path, checkpoint, ["user_id"], newest_first)
+    for newer in (True, False):
+        events.where((micros >= middle) == F.lit(newer)).write.mode("append").parquet(folder)
+        stream = mirror.file_stream(spark, folder, schema).select(*columns)
+        mirror.upsert_stream(stream, path, checkpoint, ["user_id"], newest_first)
     return mirror.read_mirror(spark, path, ["user_id"], newest_first).drop("ts")
 
 

@@ -8,15 +8,6 @@ from shelfcurve.functions.dates import overlap_share
 from shelfcurve.functions.predicates import all_of
 
 
-def broadcast_within(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only if ``df`` has at most ``max_rows`` rows.
-
-    A larger side is left to the planner: a shuffle join with adaptive skew handling.
-    """
-    small = df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def semi_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Left semi-join on columns of the same names, where NULL equals NULL."""
     other = right.select(*[F.col(c).alias(f"o_{c}") for c in on])
@@ -29,29 +20,18 @@ def left_with_defaults(left: DataFrame, right: DataFrame, on: list[str], default
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
-HOT_ROWS = 5_000_000
-
-
-def join_group_stats(
-    rows: DataFrame, stats: DataFrame, keys: list[str], size: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def join_group_stats(rows: DataFrame, stats: DataFrame, keys: list[str], salts: int = 32) -> DataFrame:
     """Inner join of rows with one row of statistics per group; NULL keys do not match.
 
-    ``size`` is the column of ``stats`` with the number of rows of the group. Groups above
-    ``hot_rows`` are broadcast: there are at most (all rows / hot_rows) of them. If the
-    others are too many for a broadcast, both sides are shuffled, and the rows of hot groups
-    spread over all tasks by a salt that no other group carries. The salt in the join key
-    also makes a later aggregate by ``keys`` combine before its own shuffle.
+    The statistics are repeated once per salt, and a row's salt comes from all its values, so
+    a group is spread over ``salts`` tasks whatever its size. The planner may still broadcast
+    the statistics if their size allows it. The salt in the join key also makes a later
+    aggregate by ``keys`` combine before its own shuffle.
     """
-    values = F.struct(*[c for c in stats.columns if c not in keys])
-    hot = F.broadcast(stats.where(F.col(size) > hot_rows).select(*keys, values.alias("_hot")))
-    # always zero; a literal would be folded out of the join key
-    zero = (F.col(size) < 0).cast("int")
-    cold = stats.where(F.col(size) <= hot_rows).select(*keys, zero.alias("_salt"), values.alias("_cold"))
-    salt = F.when(F.col("_hot").isNull(), 0).otherwise(F.pmod(F.xxhash64(*rows.columns), F.lit(4096)).cast("int") + 1)
-    joined = rows.join(hot, keys, "left").withColumn("_salt", salt).join(cold, [*keys, "_salt"], "left")
-    found = joined.withColumn("_stats", F.coalesce("_hot", "_cold")).where(F.col("_stats").isNotNull())
-    return found.select(*rows.columns, "_stats.*")
+    copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    values = [c for c in stats.columns if c not in keys]
+    return salted.join(copies, [*keys, "_salt"]).select(*rows.columns, *values)
 
 
 def longest_per_begin(intervals: DataFrame, keys: list[str], begin: str, end: str) -> DataFrame:

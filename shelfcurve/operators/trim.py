@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfcurve.operators.joins import HOT_ROWS, join_group_stats
+from shelfcurve.operators.joins import join_group_stats
 from shelfcurve.session import materialise
 
 SIGMAS = (3.0, 2.5, 2.0, 2.0)  # fixed values: width of the band in each pass
@@ -20,9 +20,9 @@ def in_band(value: str) -> Column:
 
 
 def sigma_bands(
-    df: DataFrame, keys: list[str], values: list[str], sigmas: Sequence[float] = SIGMAS, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: list[str], values: list[str], sigmas: Sequence[float] = SIGMAS, salts: int = 32
 ) -> DataFrame:
-    """Last band of each group: columns ``<value>_lo``, ``<value>_hi`` and ``group_rows``.
+    """Last band of each group: columns ``<value>_lo`` and ``<value>_hi``.
 
     The rows of a pass are those inside the band of the pass before, whether or not they
     were inside an earlier one; so a pass needs the band only and no row is rewritten. The
@@ -32,8 +32,8 @@ def sigma_bands(
     rows = df.select(*keys, *values).dropna("any", subset=keys)
     bands = None
     for width in sigmas:
-        current = rows if bands is None else join_group_stats(rows, bands, keys, "group_rows", hot_rows)
-        aggs = [F.count("*").alias("group_rows")]
+        current = rows if bands is None else join_group_stats(rows, bands, keys, salts)
+        aggs = []
         for v in values:
             inside = F.col(v) if bands is None else F.when(in_band(v), F.col(v))
             aggs += [F.avg(inside).alias(f"{v}_mean"), F.stddev_pop(inside).alias(f"{v}_sd")]
@@ -42,19 +42,19 @@ def sigma_bands(
         for v in values:
             mean, reach = F.col(f"{v}_mean"), F.col(f"{v}_sd") * width
             bounds += [F.round(mean - reach, DIGITS).alias(f"{v}_lo"), F.round(mean + reach, DIGITS).alias(f"{v}_hi")]
-        bands = materialise(stats.select(*keys, "group_rows", *bounds), "bands")
+        bands = materialise(stats.select(*keys, *bounds), "bands")
     return bands
 
 
 def sigma_trim(
-    df: DataFrame, keys: list[str], values: list[str], sigmas: Sequence[float] = SIGMAS, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: list[str], values: list[str], sigmas: Sequence[float] = SIGMAS, salts: int = 32
 ) -> DataFrame:
     """Rows with a flag ``flag_<value>`` that tells whether the last pass keeps the value.
 
     Rows with a NULL key are left out. The input is read once per pass: hand over a written
     table or a cached one.
     """
-    bands = sigma_bands(df, keys, values, sigmas, hot_rows)
-    flagged = join_group_stats(df, bands, keys, "group_rows", hot_rows)
+    bands = sigma_bands(df, keys, values, sigmas, salts)
+    flagged = join_group_stats(df, bands, keys, salts)
     flagged = flagged.withColumns({f"flag_{v}": in_band(v).cast("int") for v in values})
     return flagged.select(*df.columns, *[f"flag_{v}" for v in values])

@@ -21,9 +21,10 @@ def staged_publish(df: DataFrame, stage_path: str, target: DataFrame, out_path:
     The target is never overwritten while it is read: the merged table goes to ``out_path``
     and the caller switches over to it. A failure on the way leaves the old target whole.
     """
-    if df.limit(1).isEmpty():
-        return target
     spark = df.sparkSession
     df.write.mode("overwrite").parquet(stage_path)
-    merge_upsert(target, spark.read.parquet(stage_path), keys).write.mode("errorifexists").parquet(out_path)
+    stage = spark.read.schema(df.schema).parquet(stage_path)
+    if stage.isEmpty():
+        return target
+    merge_upsert(target, stage, keys).write.mode("errorifexists").parquet(out_path)
     return spark.read.parquet(out_path)

@@ -1,10 +1,10 @@
-"""Ordered operators. None of them needs one task to hold a whole key or a whole table."""
+"""Ordered operators. A long key, like a whole table, is cut into ranges of its order."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfcurve.operators.joins import semi_null_safe
+from shelfcurve.functions.predicates import all_of
 from shelfcurve.session import materialise
 
 
@@ -18,68 +18,65 @@ def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
-def best_per_key(df: DataFrame, keys: list[str], order: list[tuple[str, Column]]) -> DataFrame:
+def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """All rows that share the best place of their key: rank 1 with ties kept.
 
-    ``order`` names ascending expressions. The best place is a minimum with map-side
-    combine; the rows then join to it.
+    Each task keeps its own best rows of a key before the shuffle (WindowGroupLimit).
     """
-    ranked = df.withColumns(dict(order))
-    names = [name for name, _ in order]
-    best = ranked.groupBy(*keys).agg(F.min(F.struct(*names)).alias("_best"))
-    best = best.select(*keys, *[F.col("_best")[n].alias(n) for n in names])
-    return semi_null_safe(ranked, best, [*keys, *names]).drop(*names)
+    place = F.rank().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
+
+
+def _in_ranges(df: DataFrame, order: list[str], ranges: int | None) -> DataFrame:
+    """Cut a table into ranges of a total order, numbered by ``_range``, and write it.
+
+    ``ranges`` should grow with the data, so that a range fits into a task; without it the
+    session's number of shuffle partitions counts.
+    """
+    count = [ranges] if ranges else []
+    ranged = df.repartitionByRange(*count, *order).withColumn("_range", F.spark_partition_id())
+    return materialise(ranged, "ranges")
 
 
 def with_previous(
-    df: DataFrame, keys: list[str], order: list[str], columns: list[str], bucket: str, hot_rows: int
+    df: DataFrame, keys: list[str], order: list[str], columns: list[str], ranges: int | None = None
 ) -> DataFrame:
     """Add ``previous``: the given columns of the row before, per key.
 
-    Keys with more than ``hot_rows`` rows are cut into buckets of the leading order column
-    ``bucket``; the last row of a bucket is carried to the next bucket of the key.
+    The rows are cut into ranges of (keys, order). Inside a range the row before is at hand;
+    the first row of a range may follow the last row of the range before, which comes from a
+    table with one row per range. A key, or a day of a key, may span any number of ranges.
     """
-    # at most (all rows / hot_rows) keys, so this side is small by construction
-    hot = F.broadcast(
-        df.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
-    )
-    split = df.join(hot, keys, "left").withColumn("_bucket", F.when(F.col("_hot"), F.col(bucket)))
+    ranged = _in_ranges(df, [*keys, *order], ranges)
     row = F.struct(*columns)
-    in_bucket = F.lag(row).over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
-    last_rows = (
-        df.join(hot, keys)
-        .groupBy(*keys, F.col(bucket).alias("_bucket"))
-        .agg(F.max_by(row, F.struct(*order)).alias("_last"))
-    )
-    carried = last_rows.select(
-        *keys, "_bucket", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_carried")
-    )
+    whole = F.struct(*[F.col(k).alias(f"_last_{k}") for k in keys], row.alias("_carried"))
+    lasts = ranged.groupBy("_range").agg(F.max_by(whole, F.struct(*keys, *order)).alias("_last"))
+    # one row per range in this window and in the broadcast
+    before = lasts.select("_range", F.lag("_last").over(Window.orderBy("_range")).alias("_before"))
+    inside = F.lag(row).over(Window.partitionBy("_range", *keys).orderBy(*order))
+    same = all_of(F.col(k).eqNullSafe(F.col(f"_before._last_{k}")) for k in keys)
     return (
-        split.withColumn("_previous", in_bucket)
-        .join(carried, [*keys, "_bucket"], "left")
-        .withColumn("previous", F.coalesce("_previous", "_carried"))
-        .drop("_hot", "_bucket", "_previous", "_carried")
+        ranged.withColumn("_inside", inside)
+        .join(F.broadcast(before), "_range")
+        .withColumn("previous", F.coalesce("_inside", F.when(same, F.col("_before._carried"))))
+        .drop("_range", "_inside", "_before")
     )
 
 
-def _in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
-    """Cut a table into ranges of a total order, numbered by ``_range``."""
-    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    return materialise(ranged, "ranges")
-
-
-def running_total(df: DataFrame, order: list[str], value: str, total: str = "running_total") -> DataFrame:
+def running_total(
+    df: DataFrame, order: list[str], value: str, total: str = "running_total", ranges: int | None = None
+) -> DataFrame:
     """Running sum over a whole table in a total order.
 
     Each range sums its own rows; the sum of the ranges before comes from a table with one
     row per range.
     """
-    ranged = _in_ranges(df, order)
+    ranged = _in_ranges(df, order, ranges)
     sums = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    # one row per range: the number of ranges is the number of shuffle partitions
+    # one row per range
     return (
         ranged.join(F.broadcast(offsets), "_range")
         .withColumn(total, F.sum(value).over(inside) + F.col("_offset"))
@@ -87,19 +84,20 @@ def running_total(df: DataFrame, order: list[str], value: str, total: str = "run
     )
 
 
-def surrogate_key(df: DataFrame, order: list[str], name: str = "id") -> DataFrame:
+def surrogate_key(df: DataFrame, order: list[str], name: str = "id", ranges: int | None = None) -> DataFrame:
     """Dense row numbers from 1 in a total order."""
-    return running_total(df.withColumn("_one", F.lit(1).cast("bigint")), order, "_one", name).drop("_one")
+    return running_total(df.withColumn("_one", F.lit(1).cast("bigint")), order, "_one", name, ranges).drop("_one")
 
 
 def span_filter(df: DataFrame, keys: list[str], value: str, more_than: int, span_over: float) -> DataFrame:
-    """Groups with more than ``more_than`` rows and a spread of ``value`` over ``span_over``."""
-    wide = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_n"), (F.max(value) - F.min(value)).alias("_span"))
-        .where((F.col("_n") > more_than) & (F.col("_span") > span_over))
-    )
-    return semi_null_safe(df, wide, keys)
+    """Groups with more than ``more_than`` rows and a spread of ``value`` over ``span_over``.
+
+    Meant for bins, of which a group has few: one window reads the input once.
+    """
+    group = Window.partitionBy(*keys)
+    spread = F.max(value).over(group) - F.min(value).over(group)
+    measured = df.withColumns({"_n": F.count("*").over(group), "_span": spread})
+    return measured.where((F.col("_n") > more_than) & (F.col("_span") > span_over)).drop("_n", "_span")
 
 
 def change_between_snapshots(snapshots: DataFrame, table: str, taken: str, rows: str) -> DataFrame:

@@ -209,7 +209,7 @@ def trimmed_profile(rows: DataFrame, keys: list[str], s: Settings) -> DataFrame:
     values = [f"prir_{m}" for m in s.metrics]
     bin_keys = [*keys, "skidgr"]
     bands = sigma_bands(rows, bin_keys, values, s.sigmas)
-    banded = joins.join_group_stats(rows.select(*bin_keys, "disc", *values), bands, bin_keys, "group_rows")
+    banded = joins.join_group_stats(rows.select(*bin_keys, "disc", *values), bands, bin_keys)
     return aggregates.flagged_profile(banded, bin_keys, "disc", {v: in_band(v) for v in values})
 
 
@@ -297,7 +297,7 @@ def elasticity_by_article(trends: DataFrame, articles: DataFrame, s: Settings =
     matched = joins.match_hierarchy(
         named, usable, "art_id", {n: f"art_grp_lvl_{n}_id" for n in range(4)}, "check_brand"
     )
-    order = [("by_level", -F.col("art_grp_lvl")), ("by_brand", (F.col("brand") == ALL).cast("int"))]
+    order = [-F.col("art_grp_lvl"), (F.col("brand") == ALL).cast("int")]
     best = windows.best_per_key(matched, ["wo_dmp", "art_id", "frmt_id"], order)
     coef = F.exp(F.col("exp_trend_a") + F.col("exp_trend_b") * s.sample_discount)
     return best.select(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from shelfcurve.operators.filters import latest_snapshot
 from shelfcurve.operators.upsert import staged_publish
+from shelfcurve.session import materialise
 from shelfcurve.sources import jdbc
 
 
@@ -20,9 +21,13 @@ def publish_snapshot(
 def publish_to_database(
     df: DataFrame, day: str, columns: list[str], connection: jdbc.Connection, table: str, writers: int = 8
 ) -> bool:
-    """Append the latest snapshot to a staging table; says whether there was anything."""
-    newest = latest_snapshot(df, day).select(*columns)
-    if newest.limit(1).isEmpty():
+    """Fill a staging table with the latest snapshot; says whether there was anything.
+
+    The stage is cleared first, so a repeated run does not double it. The snapshot is written
+    to the shared folder once and tested there.
+    """
+    newest = materialise(latest_snapshot(df, day).select(*columns), "snapshot")
+    if newest.isEmpty():
         return False
-    jdbc.append(newest, connection, table, writers)
+    jdbc.replace(newest, connection, table, writers)
     return True

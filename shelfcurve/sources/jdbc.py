@@ -49,6 +49,13 @@ def read_by_modulus(
     return spark.read.format("jdbc").options(**options, dbtable=subquery(split_sql)).load().drop(column)
 
 
+def replace(df: DataFrame, connection: Connection, table: str, writers: int | None = None) -> None:
+    """Clear a table and fill it; its definition and grants stay."""
+    out = df.repartition(writers) if writers else df
+    options = {**connection.options(), "truncate": "true"}
+    out.write.format("jdbc").options(**options, dbtable=table).mode("overwrite").save()
+
+
 def append(df: DataFrame, connection: Connection, table: str, writers: int | None = None) -> None:
     """Append rows to a table; ``writers`` sets the number of parallel connections."""
     out = df.repartition(writers) if writers else df

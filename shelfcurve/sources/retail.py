@@ -17,15 +17,16 @@ LEVEL_IDS = {0: 1, 1: 1000, 2: 2000, 3: 3000}
 PERIOD_DAYS, CAMPAIGN_DAYS, CALENDAR_DAYS = 14, 21, 28
 
 
-_SCHEMAS: dict[str, StructType] = {}
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. The schema is read from the files once; each later read spares that job."""
+    """A test table. The schema is read once per application; each later read spares that job."""
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _SCHEMAS:
+        _SCHEMAS[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[known]).parquet(path)
 
 
 PEOPLE = "people_id bigint, fio string, city int, sex int, age int"
@@ -130,17 +131,12 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def price_pairs(spark: SparkSession, sf_dir: str, hot_rows: int = 2_000_000) -> DataFrame:
+def price_pairs(spark: SparkSession, sf_dir: str, ranges: int | None = None) -> DataFrame:
     """Every observation with the one before it at the same warehouse and article."""
     carried = ["price", "l_quantity", "l_orderkey", "day_id"]
-    pairs = with_previous(
-        observations(spark, sf_dir),
-        keys=["whs_id", "art_id"],
-        order=["day_id", "l_orderkey", "l_linenumber", "l_extendedprice"],
-        columns=carried,
-        bucket="day_id",
-        hot_rows=hot_rows,
-    ).where(F.col("previous").isNotNull())
+    keys, order = ["whs_id", "art_id"], ["day_id", "l_orderkey", "l_linenumber", "l_extendedprice"]
+    narrow = observations(spark, sf_dir).select(*dict.fromkeys([*keys, *order, *carried]), "l_returnflag", "l_tax")
+    pairs = with_previous(narrow, keys, order, carried, ranges).where(F.col("previous").isNotNull())
 
     def side(prefix: str, row: Column) -> list[Column]:
         return [

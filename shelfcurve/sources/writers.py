@@ -5,23 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def overwrite_table(
-    df: DataFrame,
-    path: str,
-    fmt: str = "parquet",
-    partitions: int | None = None,
-    single_file: bool = False,
-    max_single_rows: int = 1_000_000,
-) -> DataFrame:
+def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", partitions: int | None = None) -> DataFrame:
     """Replace a table.
 
     ``partitions`` sets the number of writers; without it adaptive execution decides.
-    ``single_file`` is refused above ``max_single_rows`` rows, for one task writes it all.
     """
-    if single_file:
-        if df.limit(max_single_rows + 1).count() > max_single_rows:
-            raise ValueError(f"a single file takes at most {max_single_rows} rows")
-        partitions = 1
     out = df.repartition(partitions) if partitions else df
     out.write.format(fmt).mode("overwrite").save(path)
     return df.sparkSession.read.format(fmt).load(path)

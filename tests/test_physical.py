@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from shelfcurve.catalog import QUERIES
 from shelfcurve.sources import retail
 
 
@@ -11,9 +12,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python(name, spark):
-    plan = plan_of(contract.queries()[name](spark, "/root/testdata/sf0.001"))
+    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
         assert node not in plan
 
@@ -29,10 +30,14 @@ def test_scan_reads_and_filters_in_the_file(spark, sf_dir):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>" in plan
 
 
-def test_hot_and_cold_pairs_agree(spark, sf_dir):
-    """Price pairs do not depend on which keys count as hot."""
-    def total(hot_rows):
-        df = retail.price_pairs(spark, sf_dir, hot_rows)
+@pytest.mark.parametrize("name", ["growth_measures", "sigma_trim", "masked_levels"])
+def test_pairs_scan_no_lines_after_the_ranges_are_written(name, spark, sf_dir):
+    assert "lineitem.parquet" not in plan_of(contract.queries()[name](spark, sf_dir))
+
+
+def test_pairs_do_not_depend_on_the_ranges(spark, sf_dir):
+    def total(ranges):
+        df = retail.price_pairs(spark, sf_dir, ranges)
         return df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
 
-    assert total(3) == total(10**9)
+    assert total(3) == total(50)

@@ -82,12 +82,10 @@ def test_modulus_ranges_hold_one_remainder_each():
     assert min(n, upper - lower) == 10 and (upper - lower) / n == 1
 
 
-def test_single_file_output(spark, tmp_path):
-    path = str(tmp_path / "one")
-    writers.overwrite_table(spark.range(100).repartition(8), path, single_file=True)
-    assert len(list(Path(path).glob("part-*"))) == 1
-    with pytest.raises(ValueError):
-        writers.overwrite_table(spark.range(100), path, single_file=True, max_single_rows=99)
+def test_number_of_writers(spark, tmp_path):
+    path = str(tmp_path / "three")
+    assert writers.overwrite_table(spark.range(100), path, partitions=3).count() == 100
+    assert len(list(Path(path).glob("part-*"))) == 3
 
 
 @pytest.mark.parametrize("sep", [",", ";"])
