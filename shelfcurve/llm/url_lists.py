@@ -58,10 +58,9 @@ def filter_urls(captures: DataFrame, changes: DataFrame, block: int = BLOCK) ->
     tried = asked.withColumn("pattern", F.explode(F.array_distinct(F.concat(above, F.array(F.concat_ws("/", "host", "segment"))))))
     tried = tried.withColumn("part", F.floor(F.col("fetched_day") / block))
 
-    until = captures.agg(F.max("fetched_day").alias("horizon"))
-    spans = validity(changes).crossJoin(F.broadcast(until)).where("from_day <= horizon")
-    end = F.least(F.coalesce("until_day", F.col("horizon") + 1), F.col("horizon") + 1)
-    entered = spans.withColumn("stop", end).where("stop > from_day").withColumn(
+    horizon = captures.agg(F.max("fetched_day")).scalar()
+    end = F.least(F.coalesce("until_day", horizon + 1), horizon + 1)
+    entered = validity(changes).where(F.col("from_day") <= horizon).withColumn("stop", end).where("stop > from_day").withColumn(
         "part", F.explode(F.sequence(F.floor(F.col("from_day") / block), F.floor((F.col("stop") - 1) / block)))
     )
     hits = tried.join(entered.select("pattern", "part", "from_day", "stop"), ["pattern", "part"]).where("fetched_day >= from_day AND fetched_day < stop")
