@@ -19,6 +19,7 @@ from shelfcurve.session import materialise
 
 METRICS = ("sale", "client", "txn", "ssn")
 ALL = "-1"
+# Measures that must be above zero.
 POSITIVE = (
     "scnd_sale_qnty", "scnd_client_cnt", "scnd_txn_cnt", "scnd_price", "frst_sale_qnty",
     "frst_client_cnt", "frst_txn_cnt", "frst_price", "scnd_day_cnt_rest_sales",
@@ -32,7 +33,7 @@ LEVEL = ["level_mask", "all_brands"]
 
 @dataclass(frozen=True)
 class Settings:
-    """Defaults are those of the yearly run."""
+    """Defaults are those of the yearly run: fixed values."""
 
     blackouts: tuple = predicates.BLACKOUTS
     horizon_days: int = 365 * 3 + 1

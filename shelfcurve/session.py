@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,9 +42,33 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_PATHS: ContextVar[list[str] | None] = ContextVar("paths", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other table uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if (paths := _PATHS.get()) is not None:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def run_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the intermediate tables of a run at its end, also after a failure.
+
+    Write the result inside the scope, to a path of your own: a lazy result of the run reads
+    tables that are gone afterwards.
+    """
+    paths: list[str] = []
+    token = _PATHS.set(paths)
+    try:
+        yield
+    finally:
+        _PATHS.reset(token)
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -3,6 +3,7 @@ from pathlib import Path
 import pytest
 
 from shelfcurve import session
+from shelfcurve.sources import retail
 
 
 def test_tables_go_to_the_shared_folder(spark):
@@ -13,6 +14,17 @@ def test_tables_go_to_the_shared_folder(spark):
     assert df.count() == 10 and df.dtypes == [("id", "bigint")]
 
 
+def test_a_finished_run_leaves_nothing(spark, sf_dir, tmp_path):
+    folder = Path(session.shared_folder(spark).removeprefix("file:"))
+    kept = session.materialise(spark.range(3), "kept")
+    before, out = set(folder.iterdir()), str(tmp_path / "pairs")
+    with session.run_scope(spark):
+        retail.price_pairs(spark, sf_dir).write.parquet(out)
+        assert set(folder.iterdir()) > before
+    assert set(folder.iterdir()) == before
+    assert kept.count() == 3 and spark.read.parquet(out).count() > 0
+
+
 def test_a_cluster_needs_the_setting():
     class Context:
         master = "yarn"
