@@ -1,10 +1,11 @@
-"""Every registered query against its SQL, and the driver's contract."""
+"""Every query of the catalog against its SQL, and the driver's contract."""
 
 import pytest
 
 from oracle import connect, differences
 
 import __spark_entry__ as contract
+from shelfcurve.catalog import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,14 +13,15 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(name, spark, sf_dir, con):
-    df = contract.queries()[name](spark, sf_dir)
-    assert differences(df, con, contract.oracle_sql()[name]) == []
+    df = QUERIES[name](spark, sf_dir)
+    assert differences(df, con, ORACLES[name]) == []
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry_returns_rows(spark):
