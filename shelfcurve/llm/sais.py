@@ -23,7 +23,7 @@ class _Buckets:
 
 def _spread(at: np.ndarray, c: np.ndarray, pointer: np.ndarray, sa: np.ndarray, sign: int) -> None:
     """Put each of ``at`` into the bucket of its symbol, in order, from ``pointer`` on."""
-    order = np.argsort(c, kind="stable")
+    order = np.argsort(c.astype(np.uint16), kind="stable")  # symbols are below SMALL; numpy sorts short numbers by radix
     c, at = c[order], at[order]
     first = np.flatnonzero(np.diff(c, prepend=-1))
     size = np.diff(np.append(first, len(c)))

@@ -7,7 +7,7 @@ regions, one per anchor; equal strings have equal anchors, at equal places. Only
 more than once matter. Their regions are shuffled by the anchor, equal regions combined on the way,
 and each shard of a few hundred kilobytes of whole anchors gets a suffix array by induced sorting
 and its permuted common prefixes. A start is repeated if its common prefix with a neighbour in the
-array reaches ``length``. A region that occurs more than once is in its shard twice.
+array reaches ``length``, or if its region stands for several equal ones.
 
 An anchor with more than ``hot`` different regions would make a shard grow with the corpus. Its
 strings are dealt anew, each by its own whole content: equal ones are combined before the shuffle,
@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -122,24 +124,25 @@ def _region_batch(rows: list[tuple], with_bytes: bool) -> pa.RecordBatch:
 
 
 def repeated_starts(pieces: list[bytes], counts: list[int], length: int = LENGTH) -> list[np.ndarray]:
-    """For each piece the places where a string starts that starts anywhere else in the shard."""
-    shard = [p for p, n in zip(pieces, counts) for _ in range(min(n, 2))]
-    s = np.zeros(sum(map(len, shard)) + len(shard) + 1, np.int64)
-    ends = np.cumsum([len(p) + 1 for p in shard])
-    for p, end in zip(shard, ends.tolist()):
-        s[end - 1 - len(p) : end - 1] = np.frombuffer(p, np.uint8)
-        s[end - 1 - len(p) : end - 1] += 2
-        s[end - 1] = 1
+    """For each piece the places where a string starts that starts anywhere else in the shard.
+
+    A piece that stands for several equal ones is in the array once; its strings all start elsewhere.
+    """
+    s = np.zeros(sum(map(len, pieces)) + len(pieces) + 1, np.int64)
+    at = np.cumsum([0, *(len(p) + 1 for p in pieces)]).tolist()
+    for p, a in zip(pieces, at):
+        s[a : a + len(p)] = np.frombuffer(p, np.uint8)
+        s[a : a + len(p)] += 2
+        s[a + len(p)] = 1
     sa = suffix_array(s, 258)
     reach = permuted_lcp(s, sa)[sa] >= length
     again = np.zeros(len(s), bool)
     again[sa[reach]] = True
     again[sa[:-1][reach[1:]]] = True
-    out, at = [], 0
-    for p, n in zip(pieces, counts):
-        out.append(np.flatnonzero(again[at : at + max(len(p) - length + 1, 0)]))
-        at += (len(p) + 1) * min(n, 2)
-    return out
+    for p, n, a in zip(pieces, counts, at):
+        if n > 1:
+            again[a : a + len(p)] = True
+    return [np.flatnonzero(again[a : a + max(len(p) - length + 1, 0)]) for p, a in zip(pieces, at)]
 
 
 def _runs(starts: np.ndarray, length: int) -> list[list[int]]:
@@ -162,14 +165,17 @@ def _shards(batches: Iterator[pa.RecordBatch], length: int, shard: int) -> Itera
             ["anchor", "rh", "spans"],
         )
 
+    each = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
     rows, size = [], 0
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if size >= shard and row[0] != rows[-1][0]:
-                yield solved(rows)
-                rows, size = [], 0
-            rows.append(row)
-            size += len(row[2]) * min(row[3], 2)
+    for _, group in groupby(each, itemgetter(0)):
+        group = list(group)
+        if len(group) == 1 and group[0][3] == 1:
+            continue  # the anchor is in copies of one text only, which has no other place to be compared with
+        rows += group
+        size += sum(len(r[2]) for r in group)
+        if size >= shard:
+            yield solved(rows)
+            rows, size = [], 0
     if rows:
         yield solved(rows)
 
