@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcurve.functions.dates import overlap_share
 from shelfcurve.functions.predicates import all_of
+from shelfcurve.session import materialise
 
 
 def semi_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -20,18 +21,31 @@ def left_with_defaults(left: DataFrame, right: DataFrame, on: list[str], default
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
-def join_group_stats(rows: DataFrame, stats: DataFrame, keys: list[str], salts: int = 32) -> DataFrame:
+ROWS_PER_SALT = 1_000_000
+HITTERS = 1_000  # groups that may get salts, and ten times as many counters in the sketch
+
+
+def join_group_stats(rows: DataFrame, stats: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Inner join of rows with one row of statistics per group; NULL keys do not match.
 
-    The statistics are repeated once per salt, and a row's salt comes from all its values, so
-    a group is spread over ``salts`` tasks whatever its size. The planner may still broadcast
-    the statistics if their size allows it. The salt in the join key also makes a later
-    aggregate by ``keys`` combine before its own shuffle.
+    A sketch of heavy hitters over the rows gives each large group a number of salts in proportion
+    to its size: its rows are dealt over them and its statistics repeated once per salt. All other
+    groups keep one. A row's salt comes from its values and its partition, so equal rows spread too
+    and a task that runs again deals them alike. ``rows`` is read twice: hand over a stored table.
     """
-    copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    group = F.xxhash64(*keys)
+    tracked = f"approx_top_k(_group, {HITTERS}, {10 * HITTERS})"
+    top = rows.select(group.alias("_group")).agg(F.expr(tracked).alias("t")).select(F.explode("t").alias("t"))
+    wanted = F.ceil(F.col("t.count") / rows_per_salt).cast("int")
+    # at most HITTERS rows in the broadcasts
+    salts = top.select(F.col("t.item").alias("_group"), wanted.alias("_salts")).where("_salts > 1")
+    one = F.coalesce("_salts", F.lit(1))
+    dealt = rows.withColumn("_group", group).join(F.broadcast(salts), "_group", "left")
+    dealt = dealt.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), one).cast("int"))
+    copies = stats.withColumn("_group", group).join(F.broadcast(salts), "_group", "left")
+    copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), one - 1)))
     values = [c for c in stats.columns if c not in keys]
-    return salted.join(copies, [*keys, "_salt"]).select(*rows.columns, *values)
+    return dealt.join(copies, [*keys, "_salt"]).select(*rows.columns, *values)
 
 
 def longest_per_begin(intervals: DataFrame, keys: list[str], begin: str, end: str) -> DataFrame:
@@ -47,12 +61,43 @@ def longest_per_begin(intervals: DataFrame, keys: list[str], begin: str, end: st
 def interval_days(
     intervals: DataFrame, keys: list[str], begin: str, end: str, first=None, last=None, day: str = "day_id"
 ) -> DataFrame:
-    """Distinct days that any interval of a key covers, within ``first`` and ``last``."""
+    """Distinct days that any interval of a key covers, within ``first`` and ``last``.
+
+    Each interval gives only the days after the greatest end before it, so a day is made once. A key
+    has one interval per begin at most, which bounds its window by the number of days.
+    """
     lo = F.col(begin) if first is None else F.greatest(F.col(begin), first)
     hi = F.col(end) if last is None else F.least(F.col(end), last)
-    clipped = intervals.select(*keys, lo.alias("lo"), hi.alias("hi"))
-    reduced = longest_per_begin(clipped, keys, "lo", "hi")
-    return reduced.select(*keys, F.explode(F.sequence("lo", "hi")).alias(day)).distinct()
+    reduced = longest_per_begin(intervals.select(*keys, lo.alias("lo"), hi.alias("hi")), keys, "lo", "hi")
+    earlier = Window.partitionBy(*keys).orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
+    reached = reduced.withColumn("lo", F.greatest("lo", F.date_add(F.max("hi").over(earlier), 1)))
+    return reached.where("lo <= hi").select(*keys, F.explode(F.sequence("lo", "hi")).alias(day))
+
+
+FINEST, STEP, TOP = 5, 3, 4  # bins of 2**5 days at level 0, eight times as long at each next one up to 4
+
+
+def _level(begin: str, end: str) -> str:
+    """The finest level whose bins are as long as the interval, which so touches two of them at most."""
+    days = f"datediff({end}, {begin}) + 1"
+    cases = " ".join(f"WHEN {days} <= {1 << FINEST + STEP * k} THEN {k}" for k in range(TOP))
+    return f"CASE {cases} ELSE {TOP} END"
+
+
+def bins(df: DataFrame, begin: str, end: str, met: Column, own: int) -> DataFrame:
+    """An interval's bins: those of its own level, and those at each higher level in the set of bits
+    ``met``. Kind ``own`` are bins of the own level, the other kind those above.
+
+    Of two intervals the one of the finer level meets the other in the bins of the other's level, so
+    a join by (kind, lvl, bin) finds each overlap, with at most two rows per interval, level and kind.
+    """
+    # equal levels meet once: as own bins of side 0 and as bins of both kinds of side 1
+    kinds = f"if(k = _level, array({'0' if own == 0 else '0, 1'}), array({1 - own}))"
+    of = lambda day: f"shiftright(datediff({day}, DATE '1970-01-01'), {FINEST} + {STEP} * k)"
+    each = f"flatten(transform({kinds}, n -> transform(sequence({of(begin)}, {of(end)}), b -> struct(n AS kind, k AS lvl, b AS bin))))"
+    levels = f"filter(sequence(_level, {TOP}), k -> k = _level OR getbit(_met, k) = 1)"
+    valid = df.where(F.col(begin) <= F.col(end)).withColumns({"_level": F.expr(_level(begin, end)), "_met": met})
+    return valid.select("*", F.expr(f"inline(flatten(transform({levels}, k -> {each})))")).drop("_level", "_met")
 
 
 def overlapped(
@@ -63,34 +108,31 @@ def overlapped(
     interval: tuple[str, str],
     min_share: float,
     labels: list[str] = (),
-    bin_days: int = 32,
 ) -> DataFrame:
     """Distinct event intervals of which one interval covers at least ``min_share``.
 
-    Both sides are first reduced to distinct intervals and then cut into bins of days, so
-    the join key is (keys, bin) and only intervals close in time meet. The semi-join stops
-    at the first interval that is enough; pairs are never written out. Columns of the
-    result: keys, ``labels`` of the event, its begin and its end.
+    Both sides are first reduced to distinct intervals and then put into bins of days whose length
+    suits theirs, so only intervals close in time meet and a long one needs no more rows than a short
+    one. The semi-join stops at the first interval that is enough; pairs are never written out.
+    Columns of the result: keys, ``labels`` of the event, its begin and its end.
     """
+
+    def met(df: DataFrame, begin: str, end: str) -> Column:
+        bits = F.bit_or(F.expr(f"shiftleft(1, {_level(begin, end)})"))
+        return F.coalesce(df.where(F.col(begin) <= F.col(end)).agg(bits).scalar(), F.lit(0))
+
     spans = events.select(*keys, *labels, F.col(event[0]).alias("eb"), F.col(event[1]).alias("ee")).distinct()
     others = longest_per_begin(intervals, keys, *interval).select(
         *[F.col(k).alias(f"i_{k}") for k in keys], F.col(interval[0]).alias("ib"), F.col(interval[1]).alias("ie")
     )
-
-    def bin_of(day):
-        return F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / bin_days).cast("int")
-
-    def binned(df: DataFrame, begin: str, end: str, name: str) -> DataFrame:
-        return df.where(F.col(begin) <= F.col(end)).select(
-            "*", F.explode(F.sequence(bin_of(F.col(begin)), bin_of(F.col(end)))).alias(name)
-        )
-
-    near = all_of(F.col(k) == F.col(f"i_{k}") for k in keys) & (F.col("bin") == F.col("i_bin"))
+    # both are read twice: for the levels that occur, and for the bins
+    spans, others = materialise(spans, "spans"), materialise(others, "intervals")
+    left = bins(spans, "eb", "ee", met(others, "ib", "ie"), 0)
+    right = bins(others, "ib", "ie", met(spans, "eb", "ee"), 1).withColumnsRenamed({c: f"i_{c}" for c in ("kind", "lvl", "bin")})
+    near = all_of(F.col(k) == F.col(f"i_{k}") for k in [*keys, "kind", "lvl", "bin"])
     enough = overlap_share(F.col("eb"), F.col("ee"), F.col("ib"), F.col("ie")) >= min_share
     common = (F.col("ib") <= F.col("ee")) & (F.col("ie") >= F.col("eb"))
-    hits = binned(spans, "eb", "ee", "bin").join(
-        binned(others, "ib", "ie", "i_bin"), near & common & enough, "left_semi"
-    )
+    hits = left.join(right, near & common & enough, "left_semi")
     return hits.select(*keys, *labels, F.col("eb").alias(event[0]), F.col("ee").alias(event[1])).distinct()
 
 

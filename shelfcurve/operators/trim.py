@@ -20,7 +20,7 @@ def in_band(value: str) -> Column:
 
 
 def sigma_bands(
-    df: DataFrame, keys: list[str], values: list[str], sigmas: Sequence[float] = SIGMAS, salts: int = 32
+    df: DataFrame, keys: list[str], values: list[str], sigmas: Sequence[float] = SIGMAS
 ) -> DataFrame:
     """Last band of each group: columns ``<value>_lo`` and ``<value>_hi``.
 
@@ -32,7 +32,7 @@ def sigma_bands(
     rows = df.select(*keys, *values).dropna("any", subset=keys)
     bands = None
     for width in sigmas:
-        current = rows if bands is None else join_group_stats(rows, bands, keys, salts)
+        current = rows if bands is None else join_group_stats(rows, bands, keys)
         aggs = []
         for v in values:
             inside = F.col(v) if bands is None else F.when(in_band(v), F.col(v))
@@ -47,14 +47,14 @@ def sigma_bands(
 
 
 def sigma_trim(
-    df: DataFrame, keys: list[str], values: list[str], sigmas: Sequence[float] = SIGMAS, salts: int = 32
+    df: DataFrame, keys: list[str], values: list[str], sigmas: Sequence[float] = SIGMAS
 ) -> DataFrame:
     """Rows with a flag ``flag_<value>`` that tells whether the last pass keeps the value.
 
     Rows with a NULL key are left out. The input is read once per pass: hand over a written
     table or a cached one.
     """
-    bands = sigma_bands(df, keys, values, sigmas, salts)
-    flagged = join_group_stats(df, bands, keys, salts)
+    bands = sigma_bands(df, keys, values, sigmas)
+    flagged = join_group_stats(df, bands, keys)
     flagged = flagged.withColumns({f"flag_{v}": in_band(v).cast("int") for v in values})
     return flagged.select(*df.columns, *[f"flag_{v}" for v in values])

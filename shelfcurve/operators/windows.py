@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcurve.functions.predicates import all_of
-from shelfcurve.session import materialise
+from shelfcurve.operators.joins import join_group_stats
+from shelfcurve.session import materialise, materialise_buckets
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -19,23 +20,40 @@ def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """All rows that share the best place of their key: rank 1 with ties kept.
+    """All rows that share the best place of their key: ties are kept, NULL keys are a key.
 
-    Each task keeps its own best rows of a key before the shuffle (WindowGroupLimit).
+    The best place of a key is an aggregate with map-side combine; the rows meet it again in a
+    join whose large groups are split, so the ties of a key may be any number of rows.
     """
-    place = F.rank().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
+    place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    placed = materialise(df.withColumns({"_key": F.struct(*keys), "_place": place}), "placed")
+    best = placed.groupBy("_key").agg(F.min("_place").alias("_place"))
+    return join_group_stats(placed, best, ["_key", "_place"]).select(*df.columns)
+
+
+ROWS_PER_RANGE = 1_000_000
 
 
-def _in_ranges(df: DataFrame, order: list[str], ranges: int | None) -> DataFrame:
-    """Cut a table into ranges of a total order, numbered by ``_range``, and write it.
+def ordered_ranges(df: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
+    """Cut a table into ranges of a total order, numbered by ``_range``, and store it in buckets of them.
 
-    ``ranges`` should grow with the data, so that a range fits into a task; without it the
-    session's number of shuffle partitions counts.
+    The rows are written first, so the bounds are sampled from the stored columns of the order and
+    ``df`` runs once. After the one exchange into ranges, whatever is partitioned by ``RANGE`` reads
+    its bucket as it is. Without ``ranges`` their number follows the rows.
     """
-    count = [ranges] if ranges else []
-    ranged = df.repartitionByRange(*count, *order).withColumn("_range", F.spark_partition_id())
-    return materialise(ranged, "ranges")
+    spark = df.sparkSession
+    rows = materialise(df, "unordered")
+    if ranges is None:
+        ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_PER_RANGE))
+    # a label per range, chosen so that the ranges fall into different buckets
+    label = spark.range(24 * ranges).groupBy(F.pmod(F.hash("id"), F.lit(ranges)).alias("_range")).agg(F.min("id").alias("_bucket"))
+    ranged = rows.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
+    # one row per range in the broadcast
+    labelled = ranged.join(F.broadcast(label), "_range", "left").withColumn("_bucket", F.coalesce("_bucket", F.col("_range").cast("bigint")))
+    return materialise_buckets(labelled, "_bucket", ranges, "ranges")
+
+
+RANGE = ["_bucket", "_range"]
 
 
 def with_previous(
@@ -47,19 +65,19 @@ def with_previous(
     the first row of a range may follow the last row of the range before, which comes from a
     table with one row per range. A key, or a day of a key, may span any number of ranges.
     """
-    ranged = _in_ranges(df, [*keys, *order], ranges)
+    ranged = ordered_ranges(df, [*keys, *order], ranges)
     row = F.struct(*columns)
     whole = F.struct(*[F.col(k).alias(f"_last_{k}") for k in keys], row.alias("_carried"))
-    lasts = ranged.groupBy("_range").agg(F.max_by(whole, F.struct(*keys, *order)).alias("_last"))
+    lasts = ranged.groupBy(*RANGE).agg(F.max_by(whole, F.struct(*keys, *order)).alias("_last"))
     # one row per range in this window and in the broadcast
     before = lasts.select("_range", F.lag("_last").over(Window.orderBy("_range")).alias("_before"))
-    inside = F.lag(row).over(Window.partitionBy("_range", *keys).orderBy(*order))
+    inside = F.lag(row).over(Window.partitionBy(*RANGE, *keys).orderBy(*order))
     same = all_of(F.col(k).eqNullSafe(F.col(f"_before._last_{k}")) for k in keys)
     return (
         ranged.withColumn("_inside", inside)
         .join(F.broadcast(before), "_range")
         .withColumn("previous", F.coalesce("_inside", F.when(same, F.col("_before._carried"))))
-        .drop("_range", "_inside", "_before")
+        .drop(*RANGE, "_inside", "_before")
     )
 
 
@@ -71,16 +89,16 @@ def running_total(
     Each range sums its own rows; the sum of the ranges before comes from a table with one
     row per range.
     """
-    ranged = _in_ranges(df, order, ranges)
-    sums = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"))
+    ranged = ordered_ranges(df, order, ranges)
+    sums = ranged.groupBy(*RANGE).agg(F.sum(value).alias("_sum"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     # one row per range
     return (
         ranged.join(F.broadcast(offsets), "_range")
         .withColumn(total, F.sum(value).over(inside) + F.col("_offset"))
-        .drop("_range", "_offset")
+        .drop(*RANGE, "_offset")
     )
 
 

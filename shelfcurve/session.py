@@ -67,10 +67,15 @@ def run_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _PATHS.reset(token)
         for path in paths:
+            spark.sql(f"DROP TABLE IF EXISTS {_table_of(path)}")
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _table_of(path: str) -> str:
+    return path.rsplit("/", 1)[1].replace("-", "_")
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -80,3 +85,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialise_buckets(df: DataFrame, column: str, buckets: int, name: str) -> DataFrame:
+    """Like ``materialise``, in hash buckets of ``column``: what follows by that column needs no exchange."""
+    path = new_path(df.sparkSession, name)
+    df.write.option("path", path).bucketBy(buckets, column).saveAsTable(_table_of(path))
+    return df.sparkSession.table(_table_of(path))

@@ -45,12 +45,11 @@ def trimmed(spark, data, sigmas=trim.SIGMAS, **kw):
     return {k: sorted(v) for k, v in kept.items()}
 
 
-@pytest.mark.parametrize("salts", [1, 7, 32])
-def test_sigma_trim_equals_row_by_row_flags(spark, salts):
+def test_sigma_trim_equals_row_by_row_flags(spark):
     rng = random.Random(7)
     data = [("g0" if i % 3 else f"g{i % 9}", round(rng.paretovariate(1.3), 4)) for i in range(900)]
     data += [("n", None), ("n", 1.0), ("n", 1.5)]
-    assert trimmed(spark, data, salts=salts) == flags_row_by_row(data, trim.SIGMAS)
+    assert trimmed(spark, data) == flags_row_by_row(data, trim.SIGMAS)
 
 
 def test_a_row_can_come_back(spark):
@@ -136,10 +135,10 @@ def test_span_filter(rows, values):
 # --- joins ----------------------------------------------------------------------------
 
 
-def overlaps(rows, events, intervals, share, **kw):
+def overlaps(rows, events, intervals, share):
     e = rows("k int, b date, e date", *events)
     i = rows("k int, ib date, ie date", *intervals)
-    found = joins.overlapped(e, i, ["k"], ("b", "e"), ("ib", "ie"), share, **kw)
+    found = joins.overlapped(e, i, ["k"], ("b", "e"), ("ib", "ie"), share)
     return sorted((r.k, (r.b - day(0)).days, (r.e - day(0)).days) for r in found.collect())
 
 
@@ -158,8 +157,8 @@ def test_shares_of_two_intervals_do_not_add_up(rows):
     assert overlaps(rows, [(1, day(0), day(9))], [(1, day(0), day(4)), (1, day(5), day(9))], 0.7) == []
 
 
-@pytest.mark.parametrize("share, bin_days", [(0.3, 3), (0.7, 32), (1.0, 7)])
-def test_overlaps_equal_brute_force(rows, share, bin_days):
+@pytest.mark.parametrize("share", [0.3, 0.7, 1.0])
+def test_overlaps_equal_brute_force(rows, share):
     rng = random.Random(5)
 
     def some(n, keys, length):
@@ -176,7 +175,7 @@ def test_overlaps_equal_brute_force(rows, share, bin_days):
             common = (min(e, ie) - max(b, ib)).days + 1
             if k == ik and common > 0 and common / ((e - b).days + 1) >= share:
                 expected.add((k, (b - day(0)).days, (e - day(0)).days))
-    assert overlaps(rows, events, intervals, share, bin_days=bin_days) == sorted(expected)
+    assert overlaps(rows, events, intervals, share) == sorted(expected)
 
 
 def test_interval_days_clip_and_merge(rows):
@@ -203,30 +202,75 @@ def test_lookup_prefers_the_specific_row(rows, values):
     assert values(found.select("a", "f", "v")) == [(1, 1, 10), (1, 2, 99), (2, 1, 88), (3, 1, None)]
 
 
-@pytest.mark.parametrize("salts", [1, 5, 32])
-def test_group_stats_join(spark, values, salts):
-    df = spark.createDataFrame([("hot" if i % 3 else f"k{i}", i) for i in range(60)] + [(None, 99)], "k string, v int")
+@pytest.mark.parametrize("rows_per_salt", [1, 7, 1_000_000])
+def test_group_stats_join(spark, values, rows_per_salt):
+    df = spark.createDataFrame([("hot" if i % 3 else f"k{i}", i) for i in range(60)] + [(None, 99), ("hot", 1)], "k string, v int")
     stats = df.groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("top"))
-    got = joins.join_group_stats(df, stats, ["k"], salts)
+    got = joins.join_group_stats(df, stats, ["k"], rows_per_salt)
     assert got.columns == ["k", "v", "n", "top"]
     assert values(got) == values(df.join(stats, "k"))
 
 
-def test_group_stats_join_spreads_a_hot_group(spark):
-    """Without a broadcast of the cold groups the hot one is not shuffled to one task."""
+@pytest.fixture
+def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        df = spark.range(4000).select(F.when(F.col("id") % 3 > 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
-        stats = df.groupBy("k").agg(F.count("*").alias("n"))
-        got = joins.join_group_stats(df, stats, ["k"], 128)
-        sizes = [r["count"] for r in got.where("k = -1").groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("value", ["id", "7"])
+def test_group_stats_join_spreads_a_hot_group(spark, no_broadcast, value):
+    """Half of the rows are of one group; they spread as those of a uniform table, equal rows too."""
+    df = spark.range(0, 40_000, 1, 40).select(F.expr("if(id % 2 = 0, -1, id)").alias("k"), F.expr(value).alias("v"))
+    stats = df.groupBy("k").agg(F.count("*").alias("n"))
+    got = joins.join_group_stats(df, stats, ["k"], 200)
+    sizes = [r["count"] for r in got.where("k = -1").groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
 
 
+def test_small_groups_get_no_copies(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    stats = df.withColumn("n", F.lit(1)).drop("v")
+    assert joins.join_group_stats(df, stats, ["k"]).count() == 1000
+
+
+def test_a_day_is_made_once_per_key(spark):
+    """Nested, touching, disjoint and repeated intervals; NULL keys; a key of very many intervals."""
+    rng = random.Random(4)
+    data = [("hot" if i % 2 else f"k{i % 9}", day(a := rng.randrange(300)), day(a + rng.randrange(-2, 40))) for i in range(600)]
+    data += [(None, day(1), day(3)), ("n", None, day(3)), ("n", day(3), None)]
+    days = joins.interval_days(spark.createDataFrame(data, "k string, b date, e date"), ["k"], "b", "e")
+    expected = {(k, b + datetime.timedelta(days=n)) for k, b, e in data if b and e for n in range((e - b).days + 1)}
+    got = [tuple(r) for r in days.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    plan = days._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")  # printed from the top: nothing is made distinct after the days
+
+
+def test_overlaps_of_all_lengths(spark):
+    rng = random.Random(5)
+
+    def some(n, longest):
+        return [(rng.randrange(3), day(a := rng.randrange(-4000, 4000)), day(a + rng.choice([0, 5, 31, 32, 300, 2047, longest]))) for _ in range(n)]
+
+    events, intervals = some(200, 9000), some(60, 12000)
+    frames = [spark.createDataFrame(x, "k int, b date, e date") for x in (events, intervals)]
+    got = joins.overlapped(*frames, ["k"], ("b", "e"), ("b", "e"), 0.4)
+
+    def share(e, i):
+        return ((min(e[2], i[2]) - max(e[1], i[1])).days + 1) / ((e[2] - e[1]).days + 1)
+
+    assert sorted(map(tuple, got.collect())) == sorted({e for e in events if any(e[0] == i[0] and share(e, i) >= 0.4 for i in intervals)})
+
+
+def test_a_long_interval_has_few_bins(rows):
+    df = rows("b date, e date", (day(0), day(365 * 30)), (day(0), day(0)), (day(3), day(2)))
+    counts = joins.bins(df, "b", "e", F.lit(31), 1).groupBy("b", "e").count().collect()
+    assert len(counts) == 2 and max(r["count"] for r in counts) < 40
+
+
 # --- windows --------------------------------------------------------------------------
 
 
@@ -269,6 +313,20 @@ def test_best_per_key_keeps_ties(rows, values):
     assert values(best.select("k", "v")) == [(1, "a"), (1, "b"), (2, "d")]
 
 
+def test_ties_of_a_key_spread(spark, no_broadcast, values, monkeypatch):
+    monkeypatch.setattr(joins.join_group_stats, "__defaults__", (200,))
+    df = spark.range(0, 20_000, 1, 40).select(F.expr("if(id % 4 > 0, NULL, id)").alias("k"), F.lit(None).cast("int").alias("o"), F.col("id").alias("v"))
+    best = windows.best_per_key(df, ["k"], [F.col("o")])
+    sizes = [r["count"] for r in best.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 15_000 and len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+
+
+def test_ordered_ranges_need_no_exchange_of_rows(spark):
+    df = spark.range(5000).select((F.col("id") * 7 % 5000).alias("n"), F.lit(1).alias("v"))
+    plan = windows.running_total(df, ["n"], "v")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and plan.count("SinglePartition") == 1
+
+
 def test_change_between_snapshots_keeps_all(rows, values):
     df = rows("t string, at int, n bigint", *[("x", i, i * i) for i in range(80)])
     assert values(windows.change_between_snapshots(df, "t", "at", "n").where("at < 4").select("at", "change")) == [

@@ -35,6 +35,15 @@ def test_pairs_scan_no_lines_after_the_ranges_are_written(name, spark, sf_dir):
     assert "lineitem.parquet" not in plan_of(contract.queries()[name](spark, sf_dir))
 
 
+@pytest.mark.parametrize("name", ["running_total", "surrogate_key"])
+def test_ordered_queries_do_not_shuffle_rows_again(name, spark, sf_dir):
+    assert "hashpartitioning" not in plan_of(QUERIES[name](spark, sf_dir))
+
+
+def test_pairs_do_not_shuffle_again(spark, sf_dir):
+    assert "hashpartitioning" not in plan_of(retail.price_pairs(spark, sf_dir))
+
+
 def test_pairs_do_not_depend_on_the_ranges(spark, sf_dir):
     def total(ranges):
         df = retail.price_pairs(spark, sf_dir, ranges)
