@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcurve.llm import best_fit, chat, lz, ppm, secrets, simhash, slack, substrings, tokens, url_lists, wu_manber
+from shelfcurve.llm import best_fit, chat, lz, merkle, ppm, secrets, simhash, slack, substrings, tokens, url_lists, wu_manber
 from shelfcurve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,8 @@ def op10_url_list_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
+@query()
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
