@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcurve.llm import best_fit, chat, lz, merkle, ppm, secrets, simhash, slack, substrings, tokens, url_lists, wu_manber
+from shelfcurve.llm import best_fit, chat, lz, merkle, minhash, ppm, repair, secrets, simhash, slack, substrings, tokens, url_lists, wu_manber
 from shelfcurve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,13 @@ def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op12_minhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
