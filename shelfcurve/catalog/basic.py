@@ -126,7 +126,8 @@ WITH body AS (SELECT conv_id, turn,
 kept AS (SELECT conv_id, turn, substr(t, strpos(t, chr(10)) + 1) AS b FROM body WHERE strpos(t, chr(10)) > 0)
 SELECT conv_id, turn, CASE WHEN turn = min(turn) OVER (PARTITION BY conv_id) THEN b ELSE chr(10) || b END AS piece FROM kept""")
 def paragraphs_to_script(spark, sf):
-    return readers.notebook_script(table(spark, sf, "conversations"), "conv_id", "turn", "text")
+    pieces = readers.notebook_script(table(spark, sf, "conversations"), "conv_id", "turn", "text")
+    return writers.write_script(pieces, new_path(spark, "scripts"), "conv_id", "turn").drop("bucket")
 
 
 @query("SELECT O_ORDERKEY AS o_orderkey, O_ORDERSTATUS AS o_orderstatus, O_TOTALPRICE AS o_totalprice FROM orders")

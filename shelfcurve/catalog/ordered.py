@@ -8,7 +8,8 @@ from shelfcurve.catalog.entities_sql import with_entities
 from shelfcurve.catalog.grouping import GROUPS_SQL, growth_groups
 from shelfcurve.catalog.joining import GROUP_PRICES_SQL, MATCHED, matched_groups
 from shelfcurve.catalog.registry import four_digits, query
-from shelfcurve.operators import windows
+from shelfcurve.operators import aggregates, history, windows
+from shelfcurve.session import new_path
 from shelfcurve.sources.retail import table
 
 NEWEST = "ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC"
@@ -77,20 +78,28 @@ def surrogate_key(spark, sf):
     return windows.surrogate_key(events, ["ts", "event_id"]).select("id", "event_id", "user_id")
 
 
-@query("""
-WITH snapshots AS (SELECT 'orders' AS table_name, date_trunc('month', CAST(o_orderdate AS DATE))::DATE AS taken_at, count(*) AS row_count
-    FROM orders GROUP BY ALL
-  UNION ALL SELECT 'lineitem', date_trunc('month', CAST(l_shipdate AS DATE))::DATE, count(*) FROM lineitem GROUP BY ALL)
-SELECT *, row_count - lag(row_count) OVER (PARTITION BY table_name ORDER BY taken_at) AS change FROM snapshots""")
+# When the profiles are taken.
+TAKEN = [f"{year}-01-01" for year in range(1996, 2003)]
+
+
+def _drift_sql(name: str, day: str) -> str:
+    taken = ", ".join(f"(DATE '{t}')" for t in TAKEN)
+    return f"SELECT '{name}' AS table_name, taken_at, count({day}) AS row_count FROM (VALUES {taken}) t(taken_at) LEFT JOIN {name} ON {day} < taken_at GROUP BY ALL"
+
+
+@query(f"""
+WITH history AS ({_drift_sql('orders', 'o_orderdate')} UNION ALL {_drift_sql('lineitem', 'l_shipdate')})
+SELECT *, row_count - lag(row_count) OVER (PARTITION BY table_name ORDER BY taken_at) AS change FROM history""")
 def profile_drift(spark, sf):
-    """A monthly history of row counts, as kept by repeated profiles."""
-    def monthly(name, day):
-        month = F.trunc(F.col(day).cast("date"), "month").alias("taken_at")
-        counted = table(spark, sf, name).groupBy(month).agg(F.count("*").alias("row_count"))
-        return counted.withColumn("table_name", F.lit(name))
-
-    history = monthly("orders", "o_orderdate").unionByName(monthly("lineitem", "l_shipdate"))
-    return windows.change_between_snapshots(history, "table_name", "taken_at", "row_count")
+    """Profiles of two growing tables, taken once a year into a history; the last run comes twice."""
+    path = new_path(spark, "profiles")
+    for taken in [*TAKEN, TAKEN[-1]]:
+        day = F.lit(taken).cast("date")
+        then = [(name, table(spark, sf, name).where(F.col(c) < day)) for name, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))]
+        profiles = [aggregates.table_profile(rows, name, day) for name, rows in then]
+        history.append_profiles(profiles[0].unionByName(profiles[1]), path)
+    kept = history.read_history(spark, path).select("table_name", "taken_at", "row_count")
+    return windows.change_between_snapshots(kept, "table_name", "taken_at", "row_count")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from shelfcurve.catalog.entities_sql import with_entities
@@ -65,22 +67,28 @@ _LEVEL_KEYS = ["skidgr", "grp_art_id", "brand", "gs_fo_id", "frmt_id", "m", "b"]
 _GROUP_KEYS = "grp_art_id, brand, gs_fo_id, frmt_id, m, b"
 
 
-def _run_sql(prefix: str, rows: str, brands: int, digits: int) -> str:
+def _run_sql(prefix: str, rows: str, brands: int, digits: int, metrics: tuple) -> str:
     """Rollup, trimming, profile and gates of one run."""
+    profiles = "\n    UNION ALL ".join(
+        f"SELECT {', '.join(_LEVEL_KEYS)}, {elasticity.METRICS.index(m) + 1} AS type_prirost, avg(CASE WHEN flag_prir_{m} THEN disc END) AS av_disc, "
+        f"avg(CASE WHEN flag_prir_{m} THEN prir_{m} END) AS prir, stddev_pop(CASE WHEN flag_prir_{m} THEN prir_{m} END) AS sd, "
+        f"count(CASE WHEN flag_prir_{m} THEN 1 END) AS n FROM {prefix}pass4 GROUP BY ALL"
+        for m in metrics
+    )
+    values = [f"prir_{m}" for m in metrics]
     return f"""{prefix}levels AS MATERIALIZED (SELECT skidgr, grp_art_id, CASE WHEN b = 1 THEN '-1' ELSE brand END AS brand,
     CASE WHEN m & 1 = 0 THEN -1 ELSE gs_fo_id END AS gs_fo_id, CASE WHEN m & 2 = 0 THEN -1 ELSE frmt_id END AS frmt_id,
-    m, b, disc, prir_sale FROM {rows}, range(4) x(m), range({2 - brands}, 2) y(b)),
-{trim_sql(prefix + 'levels', _LEVEL_KEYS, ['prir_sale'], prefix=prefix)},
-{prefix}profile AS MATERIALIZED (SELECT {', '.join(_LEVEL_KEYS)}, avg(CASE WHEN flag_prir_sale THEN disc END) AS av_disc,
-    avg(CASE WHEN flag_prir_sale THEN prir_sale END) AS prir, stddev_pop(CASE WHEN flag_prir_sale THEN prir_sale END) AS sd,
-    count(CASE WHEN flag_prir_sale THEN 1 END) AS n FROM {prefix}pass4 GROUP BY ALL),
+    m, b, disc, {', '.join(values)} FROM {rows}, range(4) x(m), range({2 - brands}, 2) y(b)),
+{trim_sql(prefix + 'levels', _LEVEL_KEYS, values, prefix=prefix)},
+{prefix}profile AS MATERIALIZED ({profiles}),
 {prefix}points AS MATERIALIZED (SELECT * FROM {prefix}profile
     WHERE (round(sd / (prir + 1), {digits}) < 0.5 OR n >= 200) AND n >= 10
-    QUALIFY count(*) OVER (PARTITION BY {_GROUP_KEYS}) > 3
-      AND max(skidgr) OVER (PARTITION BY {_GROUP_KEYS}) - min(skidgr) OVER (PARTITION BY {_GROUP_KEYS}) > 200)"""
+    QUALIFY count(*) OVER (PARTITION BY {_GROUP_KEYS}, type_prirost) > 3
+      AND max(skidgr) OVER (PARTITION BY {_GROUP_KEYS}, type_prirost) - min(skidgr) OVER (PARTITION BY {_GROUP_KEYS}, type_prirost) > 200)"""
 
 
-_TRENDS = f"""WITH horizon AS (SELECT max(scnd_begin_dt) - 1096 AS d FROM valid_pairs),
+def _trends_sql(metrics: tuple) -> str:
+    return f"""WITH horizon AS (SELECT max(scnd_begin_dt) - 1096 AS d FROM valid_pairs),
 recent AS MATERIALIZED (SELECT * FROM valid_pairs WHERE scnd_begin_dt >= (SELECT d FROM horizon)),
 headers AS (SELECT * FROM campaigns WHERE status_id = 'F' AND end_dt >= (SELECT d FROM horizon) QUALIFY row_number() OVER (
   PARTITION BY mc_id ORDER BY load_dtm DESC, l_linenumber DESC, action_id DESC, l_extendedprice DESC) = 1),
@@ -92,23 +100,26 @@ calendar_periods AS MATERIALIZED (SELECT DISTINCT whs_id, art_id, beg_dt, end_dt
 {_promoted_sql('scnd')},
 {_promoted_sql('frst')},
 fine AS MATERIALIZED ({_unpromoted("(SELECT * FROM growth WHERE scnd_begin_dt >= (SELECT d FROM horizon))")}),
-{_run_sql('f', 'fine', 2, 6)},
+{_run_sql('f', 'fine', 2, 6, metrics)},
 open_articles AS (SELECT art_id, art_grp_lvl_2_id AS grp2 FROM articles WHERE art_grp_lvl_2_id NOT IN (
   SELECT grp_art_id FROM fpoints WHERE brand = '-1')),
 horizon2 AS (SELECT max(scnd_begin_dt) - 1096 AS d FROM valid_pairs JOIN open_articles USING (art_id)),
 coarse AS MATERIALIZED ({_unpromoted('''(SELECT v.* EXCLUDE (grp_art_id), grp2 AS grp_art_id FROM growth v JOIN open_articles USING (art_id)
   WHERE scnd_begin_dt >= (SELECT d FROM horizon2))''')}),
-{_run_sql('c', 'coarse', 1, 3)},
+{_run_sql('c', 'coarse', 1, 3, metrics)},
 points AS (SELECT * FROM fpoints UNION ALL SELECT * FROM cpoints),
 weighted AS (SELECT *, skidgr / 1000.0::DOUBLE AS x, ln(prir + 1) AS y,
   least(1.0::DOUBLE, n / 15000.0::DOUBLE) AS w FROM points),
-sums AS (SELECT grp_art_id, brand, gs_fo_id, frmt_id, count(*) AS disc_group_cnt, min(av_disc) AS min_discount,
+sums AS (SELECT grp_art_id, brand, gs_fo_id, frmt_id, type_prirost, count(*) AS disc_group_cnt, min(av_disc) AS min_discount,
   max(av_disc) AS max_discount, avg(sd) AS avg_stddev, max(sd) AS max_stddev, CAST(sum(n) AS BIGINT) AS sum_cnt_int_rows,
   min(n) AS min_cnt_int_rows, sum(w) AS sw, sum(w * x) AS swx, sum(w * x * x) AS swxx, sum(w * y) AS swy, sum(w * x * y) AS swxy
   FROM weighted GROUP BY ALL),
 slopes AS (SELECT *, -(swxy * sw - swy * swx) / nullif(swxx * sw - swx * swx, 0) AS b FROM sums),
 trends AS MATERIALIZED (SELECT lvl AS art_grp_lvl, s.*, b AS exp_trend_b, (b * swx + swy) / sw AS exp_trend_a
   FROM slopes s JOIN group_levels USING (grp_art_id))"""
+
+
+_TRENDS = _trends_sql(SETTINGS.metrics)
 TREND_ENTITIES = "growth campaigns promo_calendar group_levels"
 
 TREND_COLUMNS = [
@@ -126,6 +137,13 @@ def elasticity_trend(spark, sf):
     return rounded(trends(spark, sf).select(*TREND_COLUMNS, *TREND_MEASURES), TREND_MEASURES)
 
 
+@query(with_entities(TREND_ENTITIES, _trends_sql(elasticity.METRICS) + _TREND_SELECT.replace("SELECT", "SELECT type_prirost,")))
+def elasticity_trend_all_metrics(spark, sf):
+    """Trends of the growth of sales, per client, per receipt, and freed of the season."""
+    found = trends(spark, sf, replace(SETTINGS, metrics=elasticity.METRICS))
+    return rounded(found.select("type_prirost", *TREND_COLUMNS, *TREND_MEASURES), TREND_MEASURES)
+
+
 _BY_ARTICLE = _TRENDS + """,
 by_article AS MATERIALIZED (SELECT 1 AS wo_dmp, art_id, frmt_id, art_grp_lvl, grp_art_id, brand, CAST(exp_trend_a AS FLOAT) AS exp_trend_a,
   CAST(exp_trend_b AS FLOAT) AS exp_trend_b, CAST(exp(exp_trend_a + exp_trend_b * 0.2) AS FLOAT) AS coef

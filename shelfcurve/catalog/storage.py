@@ -9,7 +9,7 @@ from shelfcurve.functions import text
 from shelfcurve.operators import filters, quality, upsert
 from shelfcurve.plans import load, publish
 from shelfcurve.session import new_path
-from shelfcurve.sources import readers, writers
+from shelfcurve.sources import readers, versions, writers
 from shelfcurve.sources.retail import table
 from shelfcurve.streaming import mirror
 
@@ -50,10 +50,9 @@ SELECT * FROM snapshot UNION ALL SELECT * FROM target WHERE o_orderkey NOT IN (S
 def staged_publish(spark, sf):
     orders = table(spark, sf, "orders")
     columns = ["o_orderkey", "o_custkey", "o_totalprice"]
-    target = orders.where("o_orderstatus = 'F'").withColumn("o_totalprice", F.lit(0.0)).select(*columns)
-    return publish.publish_snapshot(
-        orders, "o_orderdate", columns, new_path(spark, "stage"), target, new_path(spark, "published"), ["o_orderkey"]
-    )
+    target, path = orders.where("o_orderstatus = 'F'").withColumn("o_totalprice", F.lit(0.0)).select(*columns), new_path(spark, "published")
+    versions.replace(target, path)
+    return publish.publish_snapshot(orders, "o_orderdate", columns, new_path(spark, "stage"), path, ["o_orderkey"])
 
 
 @query("""

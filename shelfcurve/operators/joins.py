@@ -25,27 +25,40 @@ ROWS_PER_SALT = 1_000_000
 HITTERS = 1_000  # groups that may get salts, and ten times as many counters in the sketch
 
 
-def join_group_stats(rows: DataFrame, stats: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """Inner join of rows with one row of statistics per group; NULL keys do not match.
+def deal_over_salts(rows: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SALT) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with ``_salt``, and the number of salts of the large groups by the hash of their keys.
 
-    A sketch of heavy hitters over the rows gives each large group a number of salts in proportion
-    to its size: its rows are dealt over them and its statistics repeated once per salt. All other
-    groups keep one. A row's salt comes from its values and its partition, so equal rows spread too
-    and a task that runs again deals them alike. ``rows`` is read twice: hand over a stored table.
+    A sketch of heavy hitters gives each large group salts in proportion to its size; all others keep
+    one. A row's salt comes from its values and its partition, so equal rows spread too and a task
+    that runs again deals them alike. ``rows`` is read twice: hand over a stored table.
     """
     group = F.xxhash64(*keys)
     tracked = f"approx_top_k(_group, {HITTERS}, {10 * HITTERS})"
     top = rows.select(group.alias("_group")).agg(F.expr(tracked).alias("t")).select(F.explode("t").alias("t"))
     wanted = F.ceil(F.col("t.count") / rows_per_salt).cast("int")
-    # at most HITTERS rows in the broadcasts
     salts = top.select(F.col("t.item").alias("_group"), wanted.alias("_salts")).where("_salts > 1")
-    one = F.coalesce("_salts", F.lit(1))
+    # at most HITTERS rows in the broadcast
     dealt = rows.withColumn("_group", group).join(F.broadcast(salts), "_group", "left")
-    dealt = dealt.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), one).cast("int"))
-    copies = stats.withColumn("_group", group).join(F.broadcast(salts), "_group", "left")
-    copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), one - 1)))
+    salt = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.coalesce("_salts", F.lit(1)))
+    return dealt.select(*rows.columns, salt.cast("int").alias("_salt")), salts
+
+
+def copies_per_salt(stats: DataFrame, keys: list[str], salts: DataFrame) -> DataFrame:
+    """One copy of a group's row per salt of the group, with ``_salt``."""
+    known = stats.withColumn("_group", F.xxhash64(*keys)).join(F.broadcast(salts), "_group", "left")
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    return known.withColumn("_salt", each).drop("_group", "_salts")
+
+
+def join_group_stats(rows: DataFrame, stats: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Inner join of rows with one row of statistics per group; NULL keys do not match.
+
+    The rows of a large group are dealt over salts and its statistics repeated once per salt, so a
+    group spreads over as many tasks as other rows of that number. See ``deal_over_salts``.
+    """
+    dealt, salts = deal_over_salts(rows, keys, rows_per_salt)
     values = [c for c in stats.columns if c not in keys]
-    return dealt.join(copies, [*keys, "_salt"]).select(*rows.columns, *values)
+    return dealt.join(copies_per_salt(stats, keys, salts), [*keys, "_salt"]).select(*rows.columns, *values)
 
 
 def longest_per_begin(intervals: DataFrame, keys: list[str], begin: str, end: str) -> DataFrame:

@@ -34,15 +34,16 @@ def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFra
 ROWS_PER_RANGE = 1_000_000
 
 
-def ordered_ranges(df: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
+def ordered_ranges(df: DataFrame, order: list[str], ranges: int | None = None, stored: bool = False) -> DataFrame:
     """Cut a table into ranges of a total order, numbered by ``_range``, and store it in buckets of them.
 
     The rows are written first, so the bounds are sampled from the stored columns of the order and
     ``df`` runs once. After the one exchange into ranges, whatever is partitioned by ``RANGE`` reads
-    its bucket as it is. Without ``ranges`` their number follows the rows.
+    its bucket as it is. Without ``ranges`` their number follows the rows. ``stored`` says that ``df``
+    is little more than a scan of a table, which need not be written first.
     """
     spark = df.sparkSession
-    rows = materialise(df, "unordered")
+    rows = df if stored else materialise(df, "unordered")
     if ranges is None:
         ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_PER_RANGE))
     # a label per range, chosen so that the ranges fall into different buckets

@@ -13,8 +13,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcurve.functions import numeric, predicates, text
-from shelfcurve.operators import aggregates, joins, levels, windows
-from shelfcurve.operators.trim import SIGMAS, sigma_bands, in_band
+from shelfcurve.operators import aggregates, joins, levels, trim, windows
+from shelfcurve.operators.trim import SIGMAS
 from shelfcurve.session import materialise
 
 METRICS = ("sale", "client", "txn", "ssn")
@@ -205,30 +205,23 @@ def rollup(rows: DataFrame, brands: bool = True) -> DataFrame:
     return copies.withColumn("brand", F.when(F.col("all_brands"), ALL).otherwise(F.col("brand")))
 
 
-def trimmed_profile(rows: DataFrame, keys: list[str], s: Settings) -> DataFrame:
-    """Trim each discount bin of each group and describe what is left."""
-    values = [f"prir_{m}" for m in s.metrics]
-    bin_keys = [*keys, "skidgr"]
-    bands = sigma_bands(rows, bin_keys, values, s.sigmas)
-    banded = joins.join_group_stats(rows.select(*bin_keys, "disc", *values), bands, bin_keys)
-    return aggregates.flagged_profile(banded, bin_keys, "disc", {v: in_band(v) for v in values})
+def trimmed_profile(rows: DataFrame, s: Settings, brands: bool = True) -> DataFrame:
+    """Each discount bin of each group at every level, trimmed: one row per metric.
+
+    The rows are read once, into blocks per finest key; levels and passes work on those.
+    """
+    blocks = trim.value_blocks(rows, [*GROUP, "skidgr"], [f"prir_{m}" for m in s.metrics], F.col("disc"))
+    levels_ = trim.levels_of(blocks, [*GROUP, *LEVEL, "skidgr"], lambda df: rollup(df, brands))
+    left = trim.band_stats(levels_, trim.trim_bands(levels_, s.sigmas))
+    number = F.array_position(F.array(*[F.lit(f"prir_{m}") for m in METRICS]), F.col("_metric")).cast("int")
+    return left.select("_group_key.*", "n", "mean", "sd", "carried").select(
+        *GROUP, *LEVEL, "skidgr", number.alias("type_prirost"), F.col("carried").alias("av_disc"),
+        F.col("mean").alias("prir"), F.col("sd").alias("stddev_koeff"), F.col("n").alias("cnt_int_rows"),
+    )
 
 
-def trend_points(profile: DataFrame, keys: list[str], s: Settings) -> DataFrame:
+def trend_points(points: DataFrame, keys: list[str], s: Settings) -> DataFrame:
     """Bins good enough for a fit, of groups with enough bins; one row per metric."""
-    metrics = F.array(
-        *[
-            F.struct(
-                F.lit(METRICS.index(m) + 1).alias("type_prirost"),
-                F.col(f"av_disc_prir_{m}").alias("av_disc"),
-                F.col(f"avg_prir_{m}").alias("prir"),
-                F.col(f"std_prir_{m}").alias("stddev_koeff"),
-                F.col(f"cnt_prir_{m}").alias("cnt_int_rows"),
-            )
-            for m in s.metrics
-        ]
-    )
-    points = profile.select(*keys, "skidgr", F.inline(metrics))
     good = aggregates.quality_gate(
         points, "stddev_koeff", "prir", "cnt_int_rows",
         s.max_spread, s.loose_points, s.min_points, s.spread_digits,
@@ -238,12 +231,11 @@ def trend_points(profile: DataFrame, keys: list[str], s: Settings) -> DataFrame:
 
 
 def level_points(rows: DataFrame, s: Settings, brands: bool = True) -> DataFrame:
-    """Trend points of all rollup levels. ``rows`` is read once per pass, so it should be a
-    written table; the profile is written because the filters on it read it twice. The
-    dimensions that are rolled up at every level join the key at the end."""
-    keys = [*GROUP, *LEVEL]
-    profile = materialise(trimmed_profile(rollup(rows, brands), keys, s), "profile")
-    return trend_points(profile, keys, s).drop(*LEVEL).withColumns({c: F.lit(-1) for c in FIXED_LEVELS})
+    """Trend points of all rollup levels. ``rows`` should be a stored table; the profile is written
+    because it is read for the finished groups and for the fit. The dimensions that are rolled up at
+    every level join the key at the end."""
+    profile = materialise(trimmed_profile(rows, s, brands), "profile")
+    return trend_points(profile, [*GROUP, *LEVEL], s).drop(*LEVEL).withColumns({c: F.lit(-1) for c in FIXED_LEVELS})
 
 
 def fit_trends(points: DataFrame, group_levels: DataFrame, max_points: float = 15000.0) -> DataFrame:

@@ -10,12 +10,10 @@ from shelfcurve.session import materialise
 from shelfcurve.sources import jdbc
 
 
-def publish_snapshot(
-    df: DataFrame, day: str, columns: list[str], stage_path: str, target: DataFrame, out_path: str, keys: list[str]
-) -> DataFrame:
-    """Merge the latest snapshot into the target; see ``staged_publish``."""
+def publish_snapshot(df: DataFrame, day: str, columns: list[str], stage_path: str, table_path: str, keys: list[str]) -> DataFrame:
+    """Merge the latest snapshot into a table of versions; see ``staged_publish``."""
     newest = latest_snapshot(df, day).select(*columns)
-    return staged_publish(newest, stage_path, target, out_path, keys)
+    return staged_publish(newest, stage_path, table_path, keys)
 
 
 def publish_to_database(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", partitions: int | None = None) -> DataFrame:
@@ -42,10 +42,21 @@ def move_partitions(source: DataFrame, target_path: str, partition: str) -> Data
     return source.sparkSession.read.parquet(target_path)
 
 
-def write_script(pieces: DataFrame, path: str, notebook: str, position: str, piece: str = "piece") -> None:
-    """Write script pieces in order, one folder per notebook.
+def write_script(pieces: DataFrame, path: str, notebook: str, position: str, piece: str = "piece", buckets: int = 64) -> DataFrame:
+    """Write script pieces in hash buckets of notebooks, with notebook and position as columns.
 
-    Range partitioning keeps the order across files and splits long notebooks.
+    The number of files follows the buckets, not the notebooks. Inside the buckets the rows are in
+    order, and range partitioning splits a bucket that a long notebook makes large.
     """
-    ordered = pieces.repartitionByRange(notebook, position).sortWithinPartitions(notebook, position)
-    ordered.select(notebook, piece).write.partitionBy(notebook).mode("overwrite").text(path)
+    bucket = F.pmod(F.xxhash64(notebook), F.lit(buckets)).cast("int").alias("bucket")
+    placed = pieces.select(notebook, position, piece, bucket).repartitionByRange(buckets, "bucket", notebook, position)
+    placed.sortWithinPartitions("bucket", notebook, position).write.partitionBy("bucket").mode("overwrite").parquet(path)
+    return pieces.sparkSession.read.parquet(path)
+
+
+def read_script(spark: SparkSession, path: str, notebook: str, name, position: str, buckets: int = 64) -> DataFrame:
+    """The pieces of one notebook in order; only its bucket is read. ``name`` is a value or a column."""
+    wanted = name if isinstance(name, Column) else F.lit(name)
+    stored = spark.read.parquet(path)
+    wanted = wanted.cast(stored.schema[notebook].dataType)
+    return stored.where((F.col("bucket") == F.pmod(F.xxhash64(wanted), F.lit(buckets))) & (F.col(notebook) == wanted)).orderBy(position)

@@ -52,6 +52,28 @@ def test_sigma_trim_equals_row_by_row_flags(spark):
     assert trimmed(spark, data) == flags_row_by_row(data, trim.SIGMAS)
 
 
+@pytest.mark.parametrize("block", [1, 4, 1000])
+def test_blocks_of_any_size_give_the_same_flags(spark, block):
+    """One key over several ranges, equal values over the ends of blocks, values of very different size."""
+    rng = random.Random(8)
+    data = [("hot" if i % 4 else f"k{i % 12}", rng.choice([1.0, 1.0, 2.5, 1e6, round(rng.gauss(0, 3), 5)])) for i in range(1500)]
+    assert trimmed(spark, data, block=block) == flags_row_by_row(data, trim.SIGMAS)
+
+
+def test_levels_are_trimmed_without_copies_of_rows(spark):
+    """Each level is trimmed as if it were alone; what is copied to the levels are blocks."""
+    rng = random.Random(9)
+    data = [(rng.randrange(3), rng.randrange(2), round(rng.paretovariate(1.5), 4)) for _ in range(3000)]
+    df = spark.createDataFrame(data, "a int, b int, v double")
+    blocks = trim.value_blocks(df, ["a", "b"], ["v"])
+    assert blocks.count() < 3000 / 50
+    found = trim.levels_of(blocks, ["level_mask", "a", "b"], lambda x: levels.masked_levels(x, {"a": F.lit(-1), "b": F.lit(-1)}))
+    assert found.dealt.count() == 4 * blocks.count()
+    kept = {tuple(r[:3]): r.n for r in trim.band_stats(found, trim.trim_bands(found)).select("_group_key.*", "n").drop("_metric").collect()}
+    rows = [((m, a if m & 1 else -1, b if m & 2 else -1), v) for a, b, v in data for m in range(4)]
+    assert kept == {k: len(v) for k, v in flags_row_by_row(rows, trim.SIGMAS).items()}
+
+
 def test_a_row_can_come_back(spark):
     # one narrow pass drops the outer values, the next wide pass takes them in again
     data = [("g", v) for v in (0.0, 1.0, 2.0, 3.0, 4.0)]
@@ -381,11 +403,15 @@ def test_upsert_replaces_and_adds(rows, values):
     assert values(upsert.merge_upsert(target, source, ["k"])) == [(1, "old"), (2, "new"), (3, "new")]
 
 
-def test_publish_skips_an_empty_snapshot(rows, values, tmp_path):
-    target = rows("k int, v string", (1, "old"))
-    none = target.where("false")
-    kept = upsert.staged_publish(none, f"{tmp_path}/stage", target, f"{tmp_path}/out", ["k"])
-    assert values(kept) == [(1, "old")] and not (tmp_path / "out").exists()
+def test_upsert_refuses_a_repeated_source_key(rows, values):
+    target = rows("k int, j int, v string", (1, 1, "old"))
+    good = rows("k int, j int, v string", (1, 1, "new"), (1, 2, "new"), (None, 1, "a"), (None, 1, "b"))
+    assert len(values(upsert.merge_upsert(target, good, ["k", "j"]))) == 4  # a NULL matches nothing
+    twice = good.unionByName(rows("k int, j int, v string", (1, 2, "again")))
+    with pytest.raises(Exception, match="several rows for k, j = 1, 2"):
+        upsert.merge_upsert(target, twice, ["k", "j"]).collect()
+    with pytest.raises(Exception, match="several rows"):
+        upsert.merge_upsert(target, twice, ["k", "j"]).select("v").collect()
 
 
 def test_latest_row_ignores_order_of_arrival(rows, values):

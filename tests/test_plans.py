@@ -1,6 +1,7 @@
 """Hand-made cases for the two jobs."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,13 +130,29 @@ def test_slope_is_judged_after_rounding(rows, dims):
     assert [r.art_id for r in elasticity.elasticity_by_article(trends, arts).collect()] == [1]
 
 
-def test_metrics_are_a_setting(rows, values):
-    row = tuple(v for m in range(4) for v in (-0.1, 0.1, 20 + m, 0.5 + m))
-    names = [f"{p}_prir_{m} {t}" for m in elasticity.METRICS for p, t in (("av_disc", "double"), ("std", "double"), ("cnt", "bigint"), ("avg", "double"))]
-    profile = rows("g int, skidgr bigint, " + ", ".join(names), *[(1, -100 * i, *row) for i in range(4)])
-    s = elasticity.Settings(metrics=("sale", "txn"))
-    points = elasticity.trend_points(profile, ["g"], s)
-    assert sorted({(r.type_prirost, r.cnt_int_rows, r.prir) for r in points.collect()}) == [(1, 20, 0.5), (3, 22, 2.5)]
+def test_metrics_are_a_setting(spark, values):
+    """Wide bands: the profile of each metric and level is that of plain grouping, NULL brands included."""
+    rng = random.Random(3)
+    data = [
+        (1, rng.choice(["a", "b", None]), rng.randrange(2), rng.randrange(2), 1, -100 * rng.randrange(3), -0.1 * rng.random(),
+         *[rng.choice([rng.random(), None]) for _ in elasticity.METRICS])
+        for _ in range(500)
+    ]
+    names = ", ".join(f"prir_{m} double" for m in elasticity.METRICS)
+    df = spark.createDataFrame(data, f"grp_art_id int, brand string, gs_fo_id int, frmt_id int, algorithm_type int, skidgr int, disc double, {names}")
+    s = elasticity.Settings(metrics=("sale", "txn"), sigmas=(1000.0,))
+    keys = [*elasticity.GROUP, *elasticity.LEVEL, "skidgr"]
+    digits = lambda df: values(df.withColumns({c: F.round(c, 9) for c in ("av_disc", "prir", "stddev_koeff")}))
+    got = elasticity.trimmed_profile(df, s)
+    plain = None
+    for number, m in ((1, "sale"), (3, "txn")):
+        rows = elasticity.rollup(df).dropna("any", subset=keys).where(F.col(f"prir_{m}").isNotNull())
+        part = rows.groupBy(*keys, F.lit(number).alias("type_prirost")).agg(
+            F.avg("disc").alias("av_disc"), F.avg(f"prir_{m}").alias("prir"), F.stddev_pop(f"prir_{m}").alias("stddev_koeff"),
+            F.count("*").alias("cnt_int_rows"),
+        )
+        plain = part if plain is None else plain.unionByName(part)
+    assert digits(got.select(plain.columns)) == digits(plain)
 
 
 # --- baseline -------------------------------------------------------------------------
