@@ -68,8 +68,7 @@ def run_scope(spark: SparkSession) -> Iterator[None]:
         _PATHS.reset(token)
         for path in paths:
             spark.sql(f"DROP TABLE IF EXISTS {_table_of(path)}")
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
 
 
 def _table_of(path: str) -> str:
@@ -84,7 +83,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove tables that ``materialise`` returned, once what reads them is written itself."""
+    for df in stored:
+        _delete(df.sparkSession, df.stored_at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialise_buckets(df: DataFrame, column: str, buckets: int, name: str) -> DataFrame:
