@@ -7,7 +7,9 @@ regions, one per anchor; equal strings have equal anchors, at equal places. Only
 more than once matter. Their regions are shuffled by the anchor, equal regions combined on the way,
 and each shard of a few hundred kilobytes of whole anchors gets a suffix array by induced sorting
 and its permuted common prefixes. A start is repeated if its common prefix with a neighbour in the
-array reaches ``length``, or if its region stands for several equal ones.
+array reaches ``length``, or if its region stands for several equal ones. A string that repeats takes
+at least half of the bytes that are left beside its anchor from one side of it; so a region whose
+anchor has no such half in common with another region of the anchor stays out of the array.
 
 An anchor with more than ``hot`` different regions would make a shard grow with the corpus. Its
 strings are dealt anew, each by its own whole content: equal ones are combined before the shuffle,
@@ -19,6 +21,7 @@ Equal texts are one text with a count. Matches never cross texts.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 from operator import itemgetter
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfcurve.llm.common import ship, slices
 from shelfcurve.llm.sais import permuted_lcp, suffix_array
-from shelfcurve.session import materialise
+from shelfcurve.session import discard, materialise
 
 LENGTH = 200
 GRAM = 64
@@ -54,12 +57,12 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(28))
 
 
-def regions(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, start, end) of the regions of a text; together they hold each of its strings once."""
+def regions(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, its place, start, end) of the regions of a text; together they hold each of its strings once."""
     n = len(data) - length + 1
     if n <= 0:
         none = np.empty(0, np.int64)
-        return none, none, none
+        return none, none, none, none
     hashes = _gram_hashes(np.frombuffer(data, np.uint8))
     w = length - GRAM + 1
     # the place rides along with the upper half of the hash, so the first least one wins
@@ -73,7 +76,7 @@ def regions(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
     place = (np.minimum(behind[:n], ahead[w - 1 : w - 1 + n]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     start = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1])
     end = np.append(start[1:], n) - 1 + length
-    return hashes[place[start]].view(np.int64), start, end
+    return hashes[place[start]].view(np.int64), place[start], start, end
 
 
 def _encode(text: str) -> bytes:
@@ -85,30 +88,32 @@ def _digest(data: bytes) -> bytes:
 
 
 def _outline(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(doc, anchor, region) of every region of every text; ``region`` is start * 2^12 + size."""
+    """(doc, anchor, region) of every region of every text; ``region`` has 12 bits for the size, 12 for
+    the place of the anchor in the region, and the start above them."""
     for batch in (part for whole in batches for part in slices(whole, 4 << 20)):
         doc, anchor, region = [], [], []
         for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            key, start, end = regions(_encode(text), length)
+            key, place, start, end = regions(_encode(text), length)
             doc.append(np.full(len(key), d))
             anchor.append(key)
-            region.append(start << 12 | end - start)
+            region.append(start << 24 | place - start << 12 | end - start)
         columns = [pa.array(np.concatenate(c), pa.int64()) for c in (doc, anchor, region)]
         yield pa.RecordBatch.from_arrays(columns, ["doc", "anchor", "region"])
 
 
 def _cut_regions(batches: Iterator[pa.RecordBatch], with_bytes: bool) -> Iterator[pa.RecordBatch]:
-    """(anchor, rh, doc, region) of the marked regions of (doc, text, marks), or (anchor, rh, n, data)
-    of those that stand for all that are equal to them."""
+    """(anchor, rh, doc, region) of the marked regions of (doc, text, marks), or (anchor, rh, n, at, data)
+    of those that stand for all that are equal to them; ``at`` is the place of the anchor."""
     for batch in (part for whole in batches for part in slices(whole, 4 << 20)):
         rows: list[tuple] = []
         size = 0
         for doc, text, marks in zip(*(batch.column(k).to_pylist() for k in range(3))):
             data = _encode(text)
             for m in marks:
-                piece = data[(at := m["region"] >> 12) : at + (m["region"] & 4095)]
+                piece = data[(at := m["region"] >> 24) : at + (m["region"] & 4095)]
                 digest = _digest(piece)
-                rows.append((m["anchor"], digest, m["n"], piece) if with_bytes else (m["anchor"], digest, doc, m["region"]))
+                place = m["region"] >> 12 & 4095
+                rows.append((m["anchor"], digest, m["n"], place, piece) if with_bytes else (m["anchor"], digest, doc, m["region"]))
                 size += len(piece)
                 if size > 16 << 20:
                     yield _region_batch(rows, with_bytes)
@@ -118,8 +123,8 @@ def _cut_regions(batches: Iterator[pa.RecordBatch], with_bytes: bool) -> Iterato
 
 
 def _region_batch(rows: list[tuple], with_bytes: bool) -> pa.RecordBatch:
-    names = ["anchor", "rh", "n", "data"] if with_bytes else ["anchor", "rh", "doc", "region"]
-    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary() if with_bytes else pa.int64()]
+    names = ["anchor", "rh", "n", "at", "data"] if with_bytes else ["anchor", "rh", "doc", "region"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), *([pa.binary()] if with_bytes else [])]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
@@ -154,8 +159,24 @@ def _runs(starts: np.ndarray, length: int) -> list[list[int]]:
     return [[a, b + length] for a, b in zip(first.tolist(), last.tolist())]
 
 
+def _matched(group: list[tuple], length: int) -> list[tuple]:
+    """The regions (anchor, rh, data, n, at) of an anchor that may share a string with another place."""
+    half = (length - GRAM + 1) // 2
+    sides = []
+    for _, _, data, _, at in group:
+        before = data[at - half : at + GRAM] if at >= half else None
+        after = data[at : at + GRAM + half] if len(data) - at >= GRAM + half else None
+        sides.append((before, after))
+    many = [Counter(side[k] for side in sides) for k in (0, 1)]
+    return [
+        row
+        for row, side in zip(group, sides)
+        if row[3] > 1 or any(side[k] is not None and many[k][side[k]] > 1 for k in (0, 1))
+    ]
+
+
 def _shards(batches: Iterator[pa.RecordBatch], length: int, shard: int) -> Iterator[pa.RecordBatch]:
-    """Suffix arrays of whole anchors of a partition sorted by anchor (anchor, rh, data, n)."""
+    """Suffix arrays of whole anchors of a partition sorted by anchor (anchor, rh, data, n, at)."""
 
     def solved(rows: list[tuple]) -> pa.RecordBatch:
         starts = repeated_starts([r[2] for r in rows], [r[3] for r in rows], length)
@@ -168,9 +189,7 @@ def _shards(batches: Iterator[pa.RecordBatch], length: int, shard: int) -> Itera
     each = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
     rows, size = [], 0
     for _, group in groupby(each, itemgetter(0)):
-        group = list(group)
-        if len(group) == 1 and group[0][3] == 1:
-            continue  # the anchor is in copies of one text only, which has no other place to be compared with
+        group = _matched(list(group), length)
         rows += group
         size += sum(len(r[2]) for r in group)
         if size >= shard:
@@ -227,22 +246,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, ho
     named = docs.select("doc_id", text.alias("text")).withColumn("th", F.unhex(F.md5("text")))
     plain = materialise(named.select("doc_id", "th", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("plain")), "texts")
     copies = plain.groupBy("th").agg(F.count("*").alias("copies"))
-    long = named.where(F.octet_length("text") >= length).select(F.xxhash64("th").alias("doc"), "th", "text")
+    # each text once, with a number of its own; copies are folded before the shuffle
+    long = named.where(F.octet_length("text") >= length).groupBy("th").agg(F.first("text").alias("text"))
+    long = materialise(long.withColumn("doc", F.monotonically_increasing_id()), "different")
 
-    # to keep the shuffles narrow a text goes by 64 bits here: n texts share one with odds of n^2 / 2^65
     outline = materialise(long.select("doc", "text").mapInArrow(lambda it: _outline(it, length), "doc bigint, anchor bigint, region bigint"), "outline")
     again = outline.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    marks = outline.join(again, "anchor").groupBy("doc").agg(F.collect_set(F.struct("anchor", "region", F.lit(1).cast("bigint").alias("n"))).alias("marks"))
-    one = long.groupBy("doc", "th").agg(F.first("text").alias("text"))
-    marked = materialise(one.join(marks, "doc").select("doc", "th", "text", "marks"), "marked")
+    marks = outline.join(again, "anchor").groupBy("doc").agg(F.collect_list(F.struct("anchor", "region", F.lit(1).cast("bigint").alias("n"))).alias("marks"))
+    marked = materialise(long.join(marks, "doc").select("doc", "th", "text", "marks"), "marked")
+    discard(long, outline)
 
     cut = marked.select("doc", "text", "marks").mapInArrow(lambda it: _cut_regions(it, False), "anchor bigint, rh binary, doc bigint, region bigint")
     cut = materialise(cut, "cut")
     # one region stands for all equal ones; only its bytes are shuffled
     chosen = cut.groupBy("anchor", "rh").agg(F.min(F.struct("doc", "region")).alias("first"), F.count("*").alias("n"))
     chosen = chosen.groupBy(F.col("first.doc").alias("doc")).agg(F.collect_list(F.struct("anchor", F.col("first.region").alias("region"), "n")).alias("chosen"))
-    distinct = marked.select("doc", "text").join(chosen, "doc").mapInArrow(lambda it: _cut_regions(it, True), "anchor bigint, rh binary, n bigint, data binary")
-    distinct = materialise(distinct.select("anchor", "rh", "data", "n"), "regions")
+    distinct = marked.select("doc", "text").join(chosen, "doc").mapInArrow(
+        lambda it: _cut_regions(it, True), "anchor bigint, rh binary, n bigint, at bigint, data binary"
+    )
+    distinct = materialise(distinct.select("anchor", "rh", "data", "n", "at"), "regions")
     crowded = materialise(distinct.groupBy("anchor").agg(F.count("*").alias("k")).where(F.col("k") > hot).select("anchor"), "crowded")
     dealt = distinct.join(crowded, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
     solved = dealt.mapInArrow(lambda it: _shards(it, length, shard), "anchor bigint, rh binary, spans array<array<int>>")
@@ -254,8 +276,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, ho
     span = F.array(F.col("at"), F.col("at") + length)
     hot_spans = strings.join(twice, "window").groupBy("anchor", "rh").agg(F.collect_list(span).alias("spans"))
     spans = materialise(solved.unionByName(hot_spans), "spans")
+    discard(distinct)
 
-    place = F.shiftright("region", 12)
+    place = F.shiftright("region", 24)
     found = cut.join(spans, ["anchor", "rh"]).select("doc", place.alias("start"), F.explode("spans").alias("s"))
     by_text = found.select("doc", F.struct((F.col("start") + F.col("s")[0]).alias("from"), (F.col("start") + F.col("s")[1]).alias("to")).alias("span"))
     by_text = by_text.groupBy("doc").agg(F.collect_set("span").alias("spans"))
@@ -263,6 +286,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, ho
         lambda it: _remove(it, length), "th binary, n_removed bigint, n_spans bigint, kept_sha256 string, removed array<array<int>>"
     )
     changed = materialise(changed, "changed")
+    discard(marked, cut, spans)
 
     # a text that is there twice goes whole, whatever its regions say
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
