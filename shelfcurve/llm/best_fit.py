@@ -19,6 +19,7 @@ from shelfcurve.llm.common import ship
 from shelfcurve.llm.tokens import LENGTH, pieces
 
 GROUP_BYTES = 8 << 20
+GROUPS_PER_TASK = 4
 PAD = 0
 
 
@@ -113,7 +114,7 @@ def pack_matrix(docs: DataFrame, tokenizer: str, room: int = LENGTH, group_bytes
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, -(-size // group_bytes))
     dealt = pieces(docs, tokenizer, room, keep_ids=True).withColumn("group_id", F.floor(F.rand(11) * groups))
-    dealt = dealt.repartition("group_id").sortWithinPartitions("group_id")
+    dealt = dealt.repartition(-(-groups // GROUPS_PER_TASK), "group_id").sortWithinPartitions("group_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []

@@ -25,6 +25,7 @@ from shelfcurve.session import materialise
 
 GROUP = 2048
 ROUNDS = 3
+GROUPS_PER_TASK = 8
 
 
 def fullest(lengths: list[int], counts: list[int], room: int) -> list[tuple[int, int]]:
@@ -126,7 +127,7 @@ def pack_pieces(rows: DataFrame, room: int = LENGTH, group: int = GROUP, rounds:
         # so many groups that each has about ``group`` pieces
         groups = max(1, -(-todo.count() // group))
         dealt = todo.select(F.pmod(F.xxhash64(F.lit(turn), "row"), F.lit(groups)).alias("group_id"), "length", "row")
-        dealt = dealt.repartition("group_id").sortWithinPartitions("group_id", "row")
+        dealt = dealt.repartition(-(-groups // GROUPS_PER_TASK), "group_id").sortWithinPartitions("group_id", "row")
         packed = dealt.mapInArrow(
             lambda it: _pack_groups(it, room), "group_id bigint, length bigint, row bigint, bin bigint, offset bigint, used bigint"
         )
@@ -139,7 +140,10 @@ def pack_pieces(rows: DataFrame, room: int = LENGTH, group: int = GROUP, rounds:
     placed = done[0]
     for more in done[1:]:
         placed = placed.unionByName(more)
-    number = F.expr("shiftleft(cast(turn as bigint), 58) + shiftleft(group_id, 14) + bin")
+    # groups are dealt by hash; one that is several times too large is an error, never a shared number
+    bits = (8 * group).bit_length()
+    number = F.expr(f"""if(bin < {1 << bits} AND group_id < {1 << 58 - bits},
+        shiftleft(CAST(turn AS BIGINT), 58) + shiftleft(group_id, {bits}) + bin, raise_error('a group has too many sequences'))""").cast("bigint")
     return numbered.join(placed.select("row", number.alias("sequence_id"), "offset"), "row").drop("row")
 
 
