@@ -76,17 +76,14 @@ def format_conversations(turns: DataFrame, loss_role: str = ASSISTANT) -> DataFr
             ),
         )
     )
-    none = F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)")
-
-    def step(acc: Column, r: Column) -> Column:
-        start = acc["at"] + r["before"]
-        span = F.array(F.struct(start.alias("start"), (start + r["size"]).alias("end")))
-        return F.struct(
-            (start + r["size"] + r["after"]).alias("at"), F.when(r["learned"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans")
-        )
-
-    mask = F.aggregate("runs", F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
-    return parts.select("conv_id", formatted.alias("formatted"), runs.alias("runs")).select("conv_id", "formatted", mask.alias("loss_mask"))
+    # running ends by doubling: each step adds the sum of as many entries before, so n turns take log n passes
+    whole = F.transform("runs", lambda r: r["before"] + r["size"] + r["after"])
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size("runs"), F.lit(1)))).cast("int"))
+    summed = lambda acc, k: F.transform(acc, lambda x, i: x + F.coalesce(F.get(acc, i - F.call_function("shiftleft", F.lit(1), k)), F.lit(0)))
+    ends = F.aggregate(steps, whole, summed)
+    spans = F.zip_with("runs", "ends", lambda r, e: F.when(r["learned"], F.struct((e - r["after"] - r["size"]).alias("start"), (e - r["after"]).alias("end"))))
+    laid = parts.select("conv_id", formatted.alias("formatted"), runs.alias("runs")).withColumn("ends", ends)
+    return laid.select("conv_id", "formatted", F.filter(spans, lambda s: s.isNotNull()).alias("loss_mask"))
 
 
 def read_turns(formatted: Column) -> Column:

@@ -68,6 +68,9 @@ def hex_digest(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def row_key(text: str = "text"):
-    """A hash that tells rows with one doc_id but different texts apart (null and empty are one)."""
-    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+def free_name(df: DataFrame, wish: str = "helper") -> str:
+    """A column name that ``df`` does not have, in upper or lower case."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish

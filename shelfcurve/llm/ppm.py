@@ -69,16 +69,16 @@ class Model:
 
 
 def sample(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """At most ``per_language`` rows (lang, text) of each language, chosen by hash.
+    """At most ``per_language`` rows (lang, text) of each language, chosen by the hash of the text.
 
-    The ranking moves hashes and ids only; Spark limits each group before the shuffle.
+    Copies of a text count once. The ranking moves hashes only, made distinct and limited per language
+    before the shuffle; copies are folded before they move.
     """
-    keyed = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").select(
-        "lang", "text", F.xxhash64("doc_id", "text").alias("k")
-    )
+    keyed = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").select("lang", "text", F.xxhash64("text").alias("k"))
     order = Window.partitionBy("lang").orderBy("k")
-    chosen = keyed.select("lang", "k").withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language)
-    return keyed.join(F.broadcast(chosen.select("lang", "k").distinct()), ["lang", "k"]).select("lang", "text")
+    chosen = keyed.select("lang", "k").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language)
+    met = keyed.join(F.broadcast(chosen.select("lang", "k")), ["lang", "k"])
+    return met.groupBy("lang", "k").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def count_contexts(rows: DataFrame) -> DataFrame:

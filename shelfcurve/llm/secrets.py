@@ -3,9 +3,9 @@
 Every text is scanned for candidates: values assigned to a secret's name, access keys, long hex
 strings (the base kinds), and tokens that look random (kind ``token``). A candidate is known by the
 SHA-256 of its value. Over the whole corpus each hash is counted by distinct repositories and
-distinct owners. A value that more than ``max_owners`` owners hold is an example that people copy;
-one that few owners hold looks like a live credential of theirs. Base spans are always reported;
-the method adds the ``token`` spans that belong to few owners.
+distinct owners. A value that more than ``max_owners`` owners or more than ``max_repositories``
+repositories hold is an example that people copy; any other looks like a live credential of its
+owners. Base spans are always reported; the method adds the ``token`` spans that look live.
 
 Offsets are code points, the end is exclusive. A null text counts as empty, a null owner or
 repository as one further value. Repeated rows are scanned and reported each.
@@ -21,7 +21,8 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfcurve.llm.common import hex_digest, map_batches, texts
+from shelfcurve.llm.common import free_name, hex_digest, map_batches, texts
+from shelfcurve.operators.joins import join_group_stats
 from shelfcurve.session import materialise
 
 # fixed values: the names and forms of a secret
@@ -35,6 +36,7 @@ NAMES = ("passw", "secret", "token", "api")
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{24,}")
 TOKEN_BITS = 3.5
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 50
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, str]]:
@@ -69,38 +71,42 @@ def joined(spans: list[tuple[int, int, str, str]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind, _ in spans)
 
 
-_CANDIDATE = "struct<start:bigint,end:bigint,kind:string,hash:string>"
+_CANDIDATE = "struct<start:bigint,value:bigint,end:bigint,kind:string,hash:string>"  # value: where the value starts
+_SCANNED = f"n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, candidates array<{_CANDIDATE}>"
 
 
-def scan(docs: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys`` of each row with its counts by kind, base_sha256 and its candidates."""
+def _scanned(found: list[str]) -> pa.Array:
+    """For each text its counts by kind, base_sha256 and candidates, as a struct."""
+    rows = []
+    for text in found:
+        base = base_spans(text)
+        kinds = Counter(s[2] for s in base)
+        spans = sorted([*base, *token_spans(text, base)], key=lambda s: (s[0], KINDS.index(s[2])))
+        rows.append(
+            {
+                "n_assign": kinds["assign"], "n_access": kinds["access"], "n_hex": kinds["hex"],
+                "base_sha256": hex_digest(joined(base).encode()),
+                "candidates": [
+                    {"start": a, "value": b - len(v), "end": b, "kind": kind, "hash": hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest()}
+                    for a, b, kind, v in spans
+                ],
+            }
+        )
+    item = pa.struct([("start", pa.int64()), ("value", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("hash", pa.string())])
+    counts = [(name, pa.int64()) for name in ("n_assign", "n_access", "n_hex")]
+    return pa.array(rows, pa.struct([*counts, ("base_sha256", pa.string()), ("candidates", pa.list_(item))]))
+
+
+def scan(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """``keys`` of each row with ``scanned``: its counts by kind, base_sha256 and its candidates."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for text in texts(batch, len(keys)):
-            base = base_spans(text)
-            kinds = Counter(s[2] for s in base)
-            spans = sorted([*base, *token_spans(text, base)], key=lambda s: (s[0], KINDS.index(s[2])))
-            rows.append(
-                {
-                    "n_assign": kinds["assign"], "n_access": kinds["access"], "n_hex": kinds["hex"],
-                    "base_sha256": hex_digest(joined(base).encode()),
-                    "candidates": [
-                        {"start": a, "end": b, "kind": kind, "hash": hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest()}
-                        for a, b, kind, v in spans
-                    ],
-                }
-            )
-        item = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("hash", pa.string())])
-        types = [("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()), ("base_sha256", pa.string()), ("candidates", pa.list_(item))]
-        made = [pa.array([r[name] for r in rows], kind) for name, kind in types]
-        return pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keys))), *made], [*keys, *(name for name, _ in types)])
-
-    picked = docs.select(*keys, "text")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1])
-    return map_batches(
-        picked, run, f"{fields}, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, candidates array<{_CANDIDATE}>"
-    )
+        found = _scanned(texts(batch, len(keys)))
+        return pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keys))), found], [*keys, "scanned"])
+
+    picked = docs.select(*keys, F.col(text))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[: len(keys)])
+    return map_batches(picked, run, f"{fields}, scanned struct<{_SCANNED.replace(' ', ':').replace(',:', ', ')}>")
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
@@ -116,26 +122,39 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return repositories.join(owners, "hash")
 
 
-def is_live(max_owners: int = MAX_OWNERS) -> Column:
-    return F.col("owners") <= max_owners
+def is_live(max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> Column:
+    return (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
+
 
+def _judged(each: DataFrame, max_owners: int, max_repositories: int) -> DataFrame:
+    """Candidates with the counts of their value and ``live``; a value of very many rows is dealt over tasks."""
+    counts = materialise(ownership(each), "ownership")
+    return join_group_stats(each, counts, ["hash"]).withColumn("live", is_live(max_owners, max_repositories))
 
-def find_secrets(docs: DataFrame, repository: str = "doc_id", owner: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
+
+def find_secrets(
+    docs: DataFrame, repository: str = "doc_id", owner: str = "source", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_token,
-    n_live, n_copied, live.
+    n_live, n_copied, repositories, owners.
 
-    ``spans`` are the base spans and the token spans of few owners, as kind:start:end by start.
-    ``live`` lists all candidates of at most ``max_owners`` owners, as (start, end, kind). Texts are
-    read once; what is stored between the steps are candidates, not texts.
+    ``spans`` are the base spans and the token spans that look live, as kind:start:end by start; they
+    cover the whole match. ``n_live`` and ``n_copied`` count all candidates; ``repositories`` and
+    ``owners`` are the greatest counts of a candidate of the row, 0 without one. Texts are read once;
+    what is stored between the steps are candidates, not texts.
     """
     named = docs.select("doc_id", F.col(repository).alias("repository"), F.col(owner).alias("owner"), "text")
     keys = ["doc_id", "repository", "owner"]
-    scanned = materialise(scan(named, keys).withColumn("row", F.monotonically_increasing_id()), "secrets")
+    scanned = materialise(scan(named, keys).select(*keys, "scanned.*", F.monotonically_increasing_id().alias("row")), "secrets")
     each = scanned.select("row", "repository", "owner", F.explode("candidates").alias("c")).select("row", "repository", "owner", "c.*")
-    judged = each.join(ownership(each), "hash").withColumn("live", is_live(max_owners))
+    judged = _judged(each, max_owners, max_repositories)
     span = F.struct("start", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("place"), "end", "kind", "live")
-    by_row = judged.groupBy("row").agg(F.sort_array(F.collect_list(span)).alias("all"))
-    told = scanned.join(by_row, "row", "left").withColumn("all", F.coalesce("all", F.expr("cast(array() as array<struct<start:bigint,place:bigint,end:bigint,kind:string,live:boolean>>)")))
+    by_row = judged.groupBy("row").agg(
+        F.sort_array(F.collect_list(span)).alias("all"), F.max("repositories").alias("repositories"), F.max("owners").alias("owners")
+    )
+    told = scanned.drop("repository", "owner").join(by_row, "row", "left")
+    none = F.expr("cast(array() as array<struct<start:bigint,place:bigint,end:bigint,kind:string,live:boolean>>)")
+    told = told.withColumn("all", F.coalesce("all", none))
     shown = F.filter("all", lambda s: (s["kind"] != "token") | s["live"])
     return told.select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256",
@@ -143,38 +162,48 @@ def find_secrets(docs: DataFrame, repository: str = "doc_id", owner: str = "sour
         F.size(F.filter("all", lambda s: (s["kind"] == "token") & s["live"])).cast("bigint").alias("n_token"),
         F.size(F.filter("all", lambda s: s["live"])).cast("bigint").alias("n_live"),
         F.size(F.filter("all", lambda s: ~s["live"])).cast("bigint").alias("n_copied"),
+        F.coalesce("repositories", F.lit(0)).alias("repositories"), F.coalesce("owners", F.lit(0)).alias("owners"),
     )
 
 
-def redact(docs: DataFrame, repository: str = "doc_id", owner: str = "source", max_owners: int = MAX_OWNERS, mark: str = "<secret>") -> DataFrame:
-    """``docs`` with every live-looking candidate replaced by ``mark``; rows and columns stay.
+def redact(
+    docs: DataFrame, repository: str = "doc_id", owner: str = "source", max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES, mark: str = "<secret>",
+) -> DataFrame:
+    """``docs`` with the value of every live-looking candidate replaced by ``mark``; rows and columns stay.
 
-    Values that many owners copy stay as they are. ``n_chars``, if there, follows the new text.
-    Overlapping candidates are replaced once, together. The texts are scanned again for their
-    candidates, and only the hashes to replace are joined to them, by row key.
+    The name that a value is assigned to stays, as do values that are widely copied. ``n_chars``, if
+    there, follows the new text; a null stays null. Overlapping values are replaced once, together.
+    Repeated rows are treated alike, and other columns may have any names. Only rows with a candidate
+    are joined, by a number of their own; all others go on as they are.
     """
-    keyed = docs.select(F.col(repository).alias("repository"), F.col(owner).alias("owner"), "text", F.xxhash64(F.col("text")).alias("k1"), F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("k2"))
-    found = scan(keyed, ["repository", "owner", "k1", "k2"]).where(F.size("candidates") > 0).select("repository", "owner", "k1", "k2", "candidates")
-    found = materialise(found, "candidates")
-    each = found.select("repository", "owner", "k1", "k2", F.explode("candidates").alias("c")).select("repository", "owner", "k1", "k2", "c.*")
-    live = each.join(ownership(each).where(is_live(max_owners)).select("hash"), "hash").select("k1", "k2", "start", "end").distinct()
-    holes = live.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("holes"))
-    holes = holes.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("holes").alias("_holes"))
-    # joined alike at every size, so that the shuffle of texts follows the input
-    marked = docs.join(holes.hint("merge"), (F.xxhash64(docs["text"]) == F.col("_k1")) & (F.crc32(docs["text"]) == F.col("_k2")), "left")
-
-    names = docs.columns
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        new = [t if h is None else _cut(t, h, mark) for t, h in zip(batch.column("text").to_pylist(), batch.column("_holes").to_pylist())]
+    names, helper = docs.columns, free_name(docs)
+
+    def look(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = _scanned(texts(batch)).field("candidates")
+        return pa.RecordBatch.from_arrays([*batch.columns, found], [*names, helper])
+
+    spans = f"array<{_CANDIDATE}>"
+    stored = map_batches(docs, look, f"{docs._jdf.schema().toDDL()}, `{helper}` {spans}")
+    number = free_name(stored, "row")
+    stored = materialise(stored.withColumn(number, F.monotonically_increasing_id()), "scanned")
+    clean, dirty = stored.where(F.size(helper) == 0).select(*names), stored.where(F.size(helper) > 0)
+    each = dirty.select(F.col(number).alias("row"), F.col(repository).alias("repository"), F.col(owner).alias("owner"), F.explode(helper).alias("c"))
+    judged = _judged(materialise(each.select("row", "repository", "owner", "c.*"), "candidates"), max_owners, max_repositories)
+    holes = judged.where("live").groupBy("row").agg(F.sort_array(F.collect_list(F.struct(F.col("value").alias("start"), "end"))).alias("holes"))
+    marked = dirty.drop(helper).join(holes.withColumnsRenamed({"row": number, "holes": helper}), number, "left").select(*names, helper)
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = batch.column(helper).to_pylist()
+        new = [t if h is None else _cut(t, h, mark) for t, h in zip(batch.column("text").to_pylist(), found)]
         columns = {c: batch.column(c) for c in names}
         columns["text"] = pa.array(new, batch.schema.field("text").type)
         if "n_chars" in columns:
-            sizes = [n if h is None else len(t) for n, h, t in zip(columns["n_chars"].to_pylist(), batch.column("_holes").to_pylist(), new)]
+            sizes = [n if h is None else len(t) for n, h, t in zip(columns["n_chars"].to_pylist(), found, new)]
             columns["n_chars"] = pa.array(sizes, batch.schema.field("n_chars").type)
         return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return map_batches(marked.select(*docs.columns, "_holes"), run, docs.schema)
+    return clean.unionByName(map_batches(marked, cut, docs.schema))
 
 
 def _cut(text: str, holes: list[dict], mark: str) -> str:

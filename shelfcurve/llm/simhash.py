@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from shelfcurve.llm.common import map_batches, ship, texts
+from shelfcurve.llm.common import free_name, map_batches, ship, texts
 from shelfcurve.session import materialise
 
 SHINGLE = 4
@@ -232,12 +232,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, dense: int = DENSE)
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest doc_id.
+    """``docs`` with exactly one row of each component: that of the least doc_id, null being the
+    greatest, and of its rows the one whose text has the least hash.
 
-    Rows without a doc_id can neither stand for others nor be named by them; they all stay.
+    Rows of one doc_id with different texts are judged each by their own text. Of rows equal in doc_id
+    and text one stays; it keeps its other columns, whatever their names. No rows give none.
     """
-    found = near_duplicates(docs, shingle)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    row = lambda: F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text"))
+    found = near_duplicates(docs.select(row().alias("doc_id"), "text"), shingle)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("key")).distinct()
+    name = free_name(docs)
     # joined alike at every size, so that the shuffle of texts follows the input
-    one = docs.join(materialise(kept, "kept").hint("merge"), docs["doc_id"] == F.col("_kept"), "left_semi")
-    return one.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    kept = materialise(kept, "kept").withColumnRenamed("key", name).hint("merge")
+    return docs.withColumn(name, row()).join(kept, name, "left_semi").dropDuplicates([name]).drop(name)

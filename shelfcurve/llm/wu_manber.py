@@ -9,8 +9,10 @@ bytes of its patterns (m: its shortest) give the shift table; a block that is in
 the search jump m - block + 1 bytes. Where the shift is zero, the patterns in the bucket of that
 suffix block are compared directly.
 
-The patterns are made in blocks of at most ``per_pass`` benchmark rows; each block is one pass over
-the documents, so a task never holds more than that many items, however large the benchmark.
+The patterns are made in blocks of about ``per_pass`` benchmark rows and ``PASS_BYTES`` of text. Each
+block is one pass over the documents; its findings are written and its tables given up before the
+next pass, so a task holds the patterns of one block, however large the benchmark. (A single item
+longer than a block is a block of its own.)
 """
 
 from __future__ import annotations
@@ -23,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcurve.llm.common import hex_digest, map_batches, texts
+from shelfcurve.session import materialise
 
 WINDOW = 10
 PER_PASS = 20_000
+PASS_BYTES = 32 << 20
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -96,9 +100,9 @@ def search(words: list[bytes], searcher: Searcher) -> tuple[list[tuple[int, int]
 
 
 def _passes(benchmark: DataFrame, per_pass: int) -> list[DataFrame]:
-    """The benchmark in blocks of about ``per_pass`` rows, by hash."""
-    rows = benchmark.count()
-    blocks = max(1, -(-rows // per_pass))
+    """The benchmark in blocks of about ``per_pass`` rows and ``PASS_BYTES``, by hash."""
+    rows, size = benchmark.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, -(-rows // per_pass), -(-size // PASS_BYTES))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     return [benchmark.where(part == k) for k in range(blocks)]
 
@@ -112,6 +116,40 @@ def _patterns(block: DataFrame, window: int) -> dict[bytes, set[str]]:
     return dict(owners)
 
 
+def _found(batch: pa.RecordBatch, searcher: Searcher, owners: dict[bytes, set[str]], all_rows: bool) -> pa.RecordBatch:
+    """Words, ranges and items of each text of (row, doc_id, text), or of those with a hit alone."""
+    rows, n, found, items = [], [], [], []
+    for at, text in enumerate(texts(batch, 2)):
+        words = words_of(text)
+        ranges, patterns = search(words, searcher)
+        if ranges or all_rows:
+            rows.append(at)
+            n.append(len(words))
+            found.append([list(r) for r in ranges])
+            items.append(sorted({item for p in patterns for item in owners[p]}))
+    kept = batch.take(pa.array(rows, pa.int64()))
+    made = [pa.array(n, pa.int64()), pa.array(found, pa.list_(pa.list_(pa.int32()))), pa.array(items, pa.list_(pa.string()))]
+    return pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), *made], ["row", "doc_id", "n_words", "ranges", "items"])
+
+
+def _told(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The answer for each (doc_id, n_words, ranges, items), where ranges and items may overlap."""
+    hits = [_merged([tuple(r) for r in ranges]) for ranges in batch.column("ranges").to_pylist()]
+    items = [sorted(set(i)) for i in batch.column("items").to_pylist()]
+    n = [sum(b - a for a, b in ranges) for ranges in hits]
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("doc_id"), batch.column("n_words"),
+            pa.array(n, pa.int64()),
+            pa.array([len(i) for i in items], pa.int64()),
+            pa.array([hex_digest(",".join(i).encode()) for i in items]),
+            pa.array([x > 0 for x in n]),
+            pa.array([[list(r) for r in ranges] for ranges in hits], pa.list_(pa.list_(pa.int32()))),
+        ],
+        ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hits"],
+    )
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, per_pass: int = PER_PASS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hits.
 
@@ -119,53 +157,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
     null or wordless item no windows; an empty benchmark contaminates nothing. Repeated documents
     are judged each; repeated items count once. Other columns are not read.
     """
-    picked = docs.select("doc_id", "text")
-    kind = picked.schema["doc_id"].dataType.simpleString()
-    context = docs.sparkSession.sparkContext
-    if len(blocks := _passes(benchmark.select("item_id", "text"), per_pass)) == 1:
-        first = picked
-        extra = []
-    else:  # several passes carry what was found so far along with each document
-        first = picked.withColumn("_found", F.expr("cast(null as struct<items:array<string>,ranges:array<array<int>>>)"))
-        extra = ["_found"]
-    held = pa.struct([("items", pa.list_(pa.string())), ("ranges", pa.list_(pa.list_(pa.int32())))])
+    spark = docs.sparkSession
+    kind = docs.select("doc_id").schema["doc_id"].dataType.simpleString()
+    blocks = _passes(benchmark.select("item_id", "text"), per_pass)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    if len(blocks) > 1:  # every pass must see the same numbers
+        rows = materialise(rows, "numbered")
+    found = None
     for k, block in enumerate(blocks):
         owners = _patterns(block, window)
-        shared = context.broadcast((Searcher(set(owners)), owners))
-        last = k == len(blocks) - 1
-
-        def run(batch: pa.RecordBatch, shared=shared, last=last) -> pa.RecordBatch:
-            searcher, of = shared.value
-            before = batch.column(2).to_pylist() if extra else [None] * batch.num_rows
-            out = []
-            for text, had in zip(texts(batch, 1), before):
-                words = words_of(text)
-                ranges, patterns = search(words, searcher)
-                items = {item for p in patterns for item in of[p]}
-                if had:
-                    items |= set(had["items"])
-                    ranges = _merged([*ranges, *map(tuple, had["ranges"])])
-                out.append((words, ranges, sorted(items)))
-            if not last:
-                found = pa.array([{"items": i, "ranges": [list(r) for r in ranges]} for _, ranges, i in out], held)
-                return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], ["doc_id", "text", "_found"])
-            hit = [sum(b - a for a, b in ranges) for _, ranges, _ in out]
-            return pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(w) for w, _, _ in out], pa.int64()),
-                    pa.array(hit, pa.int64()),
-                    pa.array([len(i) for _, _, i in out], pa.int64()),
-                    pa.array([hex_digest(",".join(i).encode()) for _, _, i in out]),
-                    pa.array([h > 0 for h in hit]),
-                    pa.array([[list(r) for r in ranges] for _, ranges, _ in out], pa.list_(pa.list_(pa.int32()))),
-                ],
-                ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hits"],
-            )
-
-        done = f"doc_id {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, hits array<array<int>>"
-        first = map_batches(first, run, done if last else first.schema)
-    return first
+        shared = spark.sparkContext.broadcast((Searcher(set(owners)), owners))
+        schema = f"row bigint, doc_id {kind}, n_words bigint, ranges array<array<int>>, items array<string>"
+        mine = materialise(map_batches(rows, lambda batch, s=shared, first=k == 0: _found(batch, *s.value, first), schema), "found")
+        shared.destroy()
+        found = mine if found is None else found.unionByName(mine)
+    # rows are numbered, so those of one document meet whatever their number
+    whole = found.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        F.flatten(F.collect_list("ranges")).alias("ranges"), F.flatten(F.collect_list("items")).alias("items"),
+    )
+    told = whole if len(blocks) > 1 else found
+    done = f"doc_id {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, hits array<array<int>>"
+    return map_batches(told.select("doc_id", "n_words", "ranges", "items"), _told, done)
 
 
 def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -179,9 +192,14 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, per_pass: int = PER_PASS) -> DataFrame:
-    """Rows in which no window of the benchmark occurs; every column passes through."""
+    """Rows in which no window of the benchmark occurs; every column passes through, whatever its name.
+
+    A null or wordless text has no window and stays; repeated rows stay or go together. Between passes
+    what is left is written, so a task holds the patterns of one block.
+    """
     at = docs.columns.index("text")
-    for block in _passes(benchmark.select("item_id", "text"), per_pass):
+    blocks = _passes(benchmark.select("item_id", "text"), per_pass)
+    for k, block in enumerate(blocks):
         shared = docs.sparkSession.sparkContext.broadcast(Searcher(set(_patterns(block, window))))
 
         def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
@@ -189,4 +207,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, per_
             return batch.filter(pa.array(clean, pa.bool_()))
 
         docs = map_batches(docs, run, docs.schema)
+        if k < len(blocks) - 1:
+            docs = materialise(docs, "clean")
+            shared.destroy()
     return docs

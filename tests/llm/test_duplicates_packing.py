@@ -1,5 +1,6 @@
 """SimHash near duplicates and slack packing against plain versions of themselves."""
 
+import hashlib
 import random
 import zlib
 from collections import defaultdict
@@ -7,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import xxhash
 from cases import empty, odd, odd_rows
+from pyspark.sql import functions as F
 
 from shelfcurve.llm import simhash, slack, tokens
 from shelfcurve.llm.queries import QUERIES
@@ -86,6 +88,24 @@ def test_components_of_chains_and_crowds(spark):
         assert got == {frozenset(g) for g in by.values()}, dense
 
 
+def one_of_each(rows):
+    """Of (doc_id, text) rows the first of each component: by doc_id, null last, then by the text's hash."""
+    groups = {}
+    for (doc_id, text), c in zip(rows, plain_components([plain_fingerprint(t) for _, t in rows], list(range(len(rows))))):
+        place = (doc_id is None, doc_id or 0, hashlib.sha256((text or "").encode()).hexdigest())
+        groups.setdefault(c, []).append((place, str(doc_id), text))
+    return sorted((d, t) for d, t in (min(g, key=lambda x: x[0])[1:] for g in groups.values()))
+
+
+def test_one_row_of_each_component_stays(rows):
+    """Repeated doc_ids with different texts, and columns named like helpers."""
+    a, b = "one two three four five six seven eight", "quite another text with other words in it altogether"
+    docs = rows("doc_id long, text string, _kept int, helper string, _holes int", (3, a, 1, "x", 2), (5, a, 1, "x", 2), (5, b, 1, "x", 2), (None, b, 1, "x", 2))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(3, a), (5, b)]
+
+
 def test_simhash_odd_rows(spark):
     got = simhash.near_duplicates(odd(spark)).collect()
     data = odd_rows()
@@ -94,8 +114,7 @@ def test_simhash_odd_rows(spark):
     assert sorted((str(r.doc_id), r.fingerprint, r.component_id) for r in got) == sorted((str(d[0]), f"{f:016x}", c) for d, f, c in zip(data, fps, want))
     kept = simhash.keep_one(odd(spark))
     assert kept.columns == odd(spark).columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert sorted(map(str, ids)) == sorted([*map(str, {c for c in want if c is not None}), "None", "None"])
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == one_of_each([(d[0], d[1]) for d in data])
     assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.keep_one(empty(spark)).count() == 0
 
 
@@ -142,6 +161,11 @@ def test_packing_odd_rows_and_small_groups(spark):
     assert slack.pack_documents(empty(spark), tokens.default_tokenizer()).count() == 0
 
 
+def test_sequences_of_large_groups_have_numbers_of_their_own(spark):
+    full = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit(4096).cast("bigint").alias("length"))
+    assert slack.pack_pieces(full, group=20_000).select("sequence_id").distinct().count() == 40_000
+
+
 def test_fullest_is_the_fullest():
     pick = random.Random(1)
     for _ in range(400):

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from cases import LONG, empty, odd, odd_rows
+from pyspark.sql import functions as F
 
 from shelfcurve.llm import ppm, secrets, wu_manber
 from shelfcurve.llm.queries import QUERIES
@@ -68,6 +69,19 @@ def test_held_out_accuracy_and_isolation(spark):
     held = [r for r in got if r.held_out]
     assert held and sum(r.lang == r.lang_pred for r in held) / len(held) > 0.97
     assert all(0 <= r.score <= 1 for r in got)
+    # what the held-out rows say about their language changes nothing
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    other = docs.withColumn("lang", F.when(held_out, "xx").otherwise(F.col("lang")))
+    model = ppm.train(other.where(~held_out))
+    again = ppm.predict(other, model, ["doc_id"]).collect()
+    assert {r.doc_id: (r.lang_pred, r.score) for r in again} == {r.doc_id: (r.lang_pred, r.score) for r in got}
+
+
+def test_sample_is_bounded_whatever_repeats(spark):
+    same = spark.range(5000).select("id", F.lit("en").alias("lang"), F.when(F.col("id") < 4000, "the same text").otherwise(F.concat(F.lit("t"), "id")).alias("text"))
+    got = ppm.sample(same.withColumnRenamed("id", "doc_id"), 300).collect()
+    assert len(got) == 300 == len({r.text for r in got})
+    assert ppm.sample(same.where("id < 4000").withColumnRenamed("id", "doc_id"), 300).count() == 1
 
 
 def test_language_odd_rows(spark):
@@ -136,9 +150,25 @@ def test_values_of_many_owners_are_examples(spark, rows):
     assert (got[0].n_copied, got[0].n_live, got[0].spans) == (2, 0, f"assign:0:{8 + len(shared)}")
     assert (got[9].n_copied, got[9].n_live, got[9].n_token) == (1, 1, 0)
     clean = {r.doc_id: r for r in secrets.redact(docs).collect()}
-    assert clean[9].text == f"é <secret> and {token}" and clean[9].n_chars == len(clean[9].text)
+    assert clean[9].text == f"é secret: <secret> and {token}" and clean[9].n_chars == len(clean[9].text)
     assert clean[0].text == f"token = {shared} {token}" and clean[11].text is None
-    assert clean[10].text == f"<secret> {own}"
+    assert clean[10].text == f"secret: <secret> {own}"
+
+
+def test_both_counts_decide(rows):
+    """Many repositories of one owner hold a value, few repositories of one owner another."""
+    copied, live = "a1b2c3d4e5f60718", "zz99yy88xx77ww66"
+    docs = rows(
+        "doc_id long, text string, source string, helper int, row int, _holes string, hash string",
+        *[(k, f"token = {copied}" + (f" secret={live}" if k < 2 else ""), "one", 1, 2, "h", "x") for k in range(5)],
+    )
+    found = {r.doc_id: r for r in secrets.find_secrets(docs, max_repositories=4).collect()}
+    assert (found[0].n_live, found[0].n_copied, found[0].repositories, found[0].owners) == (1, 1, 5, 1)
+    assert (found[4].n_live, found[4].n_copied) == (0, 1)
+    clean = secrets.redact(docs, max_repositories=4)
+    assert clean.columns == docs.columns
+    assert {r.doc_id: r.text for r in clean.collect()}[1] == f"token = {copied} secret=<secret>"
+    assert {r.text for r in secrets.redact(docs).collect()} == {"token = <secret>", "token = <secret> secret=<secret>"}
 
 
 def test_secret_odd_rows(spark):
@@ -148,7 +178,7 @@ def test_secret_odd_rows(spark):
     assert {r.n_assign for r in got if r.doc_id not in (6, 7)} == {0}
     kept = secrets.redact(odd(spark))
     assert kept.columns == odd(spark).columns and kept.count() == len(odd_rows())
-    assert {r.text for r in kept.where("doc_id = 7").collect()} == {LONG.replace("token = abcdefgh1234", "<secret>")}
+    assert {r.text for r in kept.where("doc_id = 7").collect()} == {LONG.replace("abcdefgh1234", "<secret>")}
     assert secrets.find_secrets(empty(spark)).count() == 0 and secrets.redact(empty(spark)).count() == 0
 
 
@@ -199,7 +229,10 @@ def test_decontamination_odd_and_short_items(spark, rows):
     docs = odd(spark).select("doc_id", "text").unionByName(extra)
     want = plain_contamination([tuple(r) for r in docs.collect()], items)
     assert told(wu_manber.contamination(docs, bench)) == want
-    assert told(wu_manber.contamination(docs, bench, per_pass=2)) == want
+    several = wu_manber.contamination(docs, bench, per_pass=2)
+    assert told(several) == want
+    # the passes are written one by one: the plan that is left searches nothing
+    assert several._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     clean = wu_manber.keep_clean(odd(spark), bench)
     assert clean.columns == odd(spark).columns
     assert clean.count() == sum(not r[5] for r in want) - 1
