@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcurve.llm import best_fit, chat, lz, merkle, minhash, ppm, repair, secrets, simhash, slack, substrings, tokens, url_lists, wu_manber
+from shelfcurve.llm import best_fit, chat, lz, merkle, minhash, oracles, ppm, repair, secrets, simhash, slack, substrings, tokens, url_lists, wu_manber
 from shelfcurve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,7 +40,7 @@ def op3_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slack.pack_documents(table(spark, sf_dir, "documents"), tokens.default_tokenizer())
 
 
-@query()
+@query(oracles.CONTAMINATION)
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = wu_manber.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("hits")
@@ -56,7 +56,7 @@ def op5_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz.fingerprints_with_edits(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(oracles.CHAT)
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.range(2).select(
@@ -138,7 +138,7 @@ def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
 
 
-@query()
+@query(oracles.MANIFEST)
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -148,6 +148,6 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_damaged(table(spark, sf_dir, "conversations"))
 
 
-@query()
+@query(oracles.NEAR_DUPLICATES)
 def op12_minhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
