@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcurve.functions.predicates import all_of
 from shelfcurve.operators.joins import join_group_stats
-from shelfcurve.session import materialise, materialise_buckets
+from shelfcurve.session import discard, materialise, materialise_buckets
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -51,7 +51,10 @@ def ordered_ranges(df: DataFrame, order: list[str], ranges: int | None = None, s
     ranged = rows.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
     # one row per range in the broadcast
     labelled = ranged.join(F.broadcast(label), "_range", "left").withColumn("_bucket", F.coalesce("_bucket", F.col("_range").cast("bigint")))
-    return materialise_buckets(labelled, "_bucket", ranges, "ranges")
+    made = materialise_buckets(labelled, "_bucket", ranges, "ranges")
+    if not stored:
+        discard(rows)
+    return made
 
 
 RANGE = ["_bucket", "_range"]

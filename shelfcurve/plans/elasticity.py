@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfcurve.functions import numeric, predicates, text
 from shelfcurve.operators import aggregates, joins, levels, trim, windows
 from shelfcurve.operators.trim import SIGMAS
-from shelfcurve.session import materialise
+from shelfcurve.session import materialise, store
 
 METRICS = ("sale", "client", "txn", "ssn")
 ALL = "-1"
@@ -231,10 +231,10 @@ def trend_points(points: DataFrame, keys: list[str], s: Settings) -> DataFrame:
 
 
 def level_points(rows: DataFrame, s: Settings, brands: bool = True) -> DataFrame:
-    """Trend points of all rollup levels. ``rows`` should be a stored table; the profile is written
-    because it is read for the finished groups and for the fit. The dimensions that are rolled up at
-    every level join the key at the end."""
-    profile = materialise(trimmed_profile(rows, s, brands), "profile")
+    """Trend points of all rollup levels of growth rows. The profile is stored, because it is read for
+    the finished groups and for the fit; rows, blocks and bands are removed with that. The dimensions
+    that are rolled up at every level join the key at the end."""
+    profile = store(rows.sparkSession, lambda: trimmed_profile(materialise(rows, "growth"), s, brands), "profile")
     return trend_points(profile, [*GROUP, *LEVEL], s).drop(*LEVEL).withColumns({c: F.lit(-1) for c in FIXED_LEVELS})
 
 
@@ -267,14 +267,14 @@ def elasticity_trends(
     recent = pairs.where(F.col("scnd_begin_dt") >= since)
     promoted = materialise(promoted_periods(recent, promotions, since, s), "promoted")
     fine = growth_measures(without_promoted(recent, promoted), fine_groups, regions)
-    first = level_points(materialise(fine, "growth"), s)
+    first = level_points(fine, s)
 
     done = first.where((F.col("brand") == ALL) & (F.col("wo_dmp") == s.wo_dmp)).select("grp_art_id").distinct()
     coarse_groups = article_groups(articles, 2, any_brand=True).join(done, "grp_art_id", "left_anti")
     open_pairs = pairs.join(coarse_groups.select("art_id"), "art_id", "left_semi")
     recent = open_pairs.where(F.col("scnd_begin_dt") >= horizon(open_pairs, s))
     coarse = growth_measures(without_promoted(recent, promoted), coarse_groups, regions)
-    second = level_points(materialise(coarse, "growth"), replace(s, spread_digits=3), brands=False)
+    second = level_points(coarse, replace(s, spread_digits=3), brands=False)
     return fit_trends(first.unionByName(second), group_levels, s.max_points)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -88,6 +88,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def store(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Like ``materialise`` for what ``make`` builds; the tables that were written for it are removed."""
+    path = new_path(spark, name)
+    with run_scope(spark):
+        df = make()
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
 def discard(*stored: DataFrame) -> None:
     """Remove tables that ``materialise`` returned, once what reads them is written itself."""
     for df in stored:

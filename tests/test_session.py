@@ -25,6 +25,22 @@ def test_a_finished_run_leaves_nothing(spark, sf_dir, tmp_path):
     assert kept.count() == 3 and spark.read.parquet(out).count() > 0
 
 
+def test_a_stored_result_is_all_that_is_left(spark):
+    folder = Path(session.shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+
+    def make():
+        inner = session.store(spark, lambda: session.materialise(spark.range(5), "a"), "b")
+        return session.materialise_buckets(inner, "id", 2, "c").where("id > 1")
+
+    kept = session.store(spark, make, "d")
+    assert kept.count() == 3 and len(set(folder.iterdir()) - before) == 1
+    with pytest.raises(ZeroDivisionError):
+        session.store(spark, lambda: session.materialise(spark.range(5), "a").limit(1 // 0), "d")
+    session.discard(kept)
+    assert set(folder.iterdir()) == before
+
+
 def test_a_cluster_needs_the_setting():
     class Context:
         master = "yarn"
