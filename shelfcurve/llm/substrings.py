@@ -9,7 +9,8 @@ and each shard of a few hundred kilobytes of whole anchors gets a suffix array b
 and its permuted common prefixes. A start is repeated if its common prefix with a neighbour in the
 array reaches ``length``, or if its region stands for several equal ones. A string that repeats takes
 at least half of the bytes that are left beside its anchor from one side of it; so a region whose
-anchor has no such half in common with another region of the anchor stays out of the array.
+anchor has no such half in common with another region of the anchor stays out of the array, and one
+that has it on one side only enters it without the other half.
 
 An anchor with more than ``hot`` different regions would make a shard grow with the corpus. Its
 strings are dealt anew, each by its own whole content: equal ones are combined before the shuffle,
@@ -160,19 +161,30 @@ def _runs(starts: np.ndarray, length: int) -> list[list[int]]:
 
 
 def _matched(group: list[tuple], length: int) -> list[tuple]:
-    """The regions (anchor, rh, data, n, at) of an anchor that may share a string with another place."""
+    """(anchor, rh, data, n, from) of the parts of an anchor's regions that may share a string with
+    another place: the part begins at ``from`` of its region (anchor, rh, data, n, at).
+
+    Where the half before or after the anchor has no other place, no repeated string holds all of it,
+    and the part ends one byte short of that half. Strings of a region with equals all repeat.
+    """
     half = (length - GRAM + 1) // 2
     sides = []
     for _, _, data, _, at in group:
         before = data[at - half : at + GRAM] if at >= half else None
         after = data[at : at + GRAM + half] if len(data) - at >= GRAM + half else None
         sides.append((before, after))
-    many = [Counter(side[k] for side in sides) for k in (0, 1)]
-    return [
-        row
-        for row, side in zip(group, sides)
-        if row[3] > 1 or any(side[k] is not None and many[k][side[k]] > 1 for k in (0, 1))
-    ]
+    before_many, after_many = (Counter(side[k] for side in sides) for k in (0, 1))
+    parts = []
+    for (anchor, rh, data, n, at), (before, after) in zip(group, sides):
+        if n > 1:
+            parts.append((anchor, rh, data, n, 0))
+            continue
+        shared_before, shared_after = before is not None and before_many[before] > 1, after is not None and after_many[after] > 1
+        if shared_before or shared_after:
+            start = 0 if shared_before else max(at - half + 1, 0)
+            part = data[start : len(data) if shared_after else at + GRAM + half - 1]
+            parts.append((anchor, rh, part, n, start))
+    return parts
 
 
 def _shards(batches: Iterator[pa.RecordBatch], length: int, shard: int) -> Iterator[pa.RecordBatch]:
@@ -180,7 +192,7 @@ def _shards(batches: Iterator[pa.RecordBatch], length: int, shard: int) -> Itera
 
     def solved(rows: list[tuple]) -> pa.RecordBatch:
         starts = repeated_starts([r[2] for r in rows], [r[3] for r in rows], length)
-        some = [(r[0], r[1], _runs(s, length)) for r, s in zip(rows, starts) if len(s)]
+        some = [(r[0], r[1], _runs(s + r[4], length)) for r, s in zip(rows, starts) if len(s)]
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in some], pa.int64()), pa.array([r[1] for r in some], pa.binary()), pa.array([r[2] for r in some], pa.list_(pa.list_(pa.int32())))],
             ["anchor", "rh", "spans"],
