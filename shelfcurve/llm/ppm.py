@@ -26,6 +26,7 @@ from shelfcurve.llm.common import map_batches, ship, slices, texts
 
 UNDETERMINED = "und"
 PER_LANGUAGE = 300
+SAMPLE_TASKS = 8
 ORDER = 3
 
 
@@ -78,7 +79,8 @@ def sample(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     order = Window.partitionBy("lang").orderBy("k")
     chosen = keyed.select("lang", "k").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language)
     met = keyed.join(F.broadcast(chosen.select("lang", "k")), ["lang", "k"])
-    return met.groupBy("lang", "k").agg(F.min("text").alias("text")).select("lang", "text")
+    # a bounded number of texts: few tasks count them, each a context once for all its texts
+    return met.groupBy("lang", "k").agg(F.min("text").alias("text")).select("lang", "text").coalesce(SAMPLE_TASKS)
 
 
 def count_contexts(rows: DataFrame) -> DataFrame:
