@@ -25,22 +25,22 @@ ROWS_PER_SALT = 1_000_000
 HITTERS = 1_000  # groups that may get salts, and ten times as many counters in the sketch
 
 
-def deal_over_salts(rows: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SALT) -> tuple[DataFrame, DataFrame]:
-    """``rows`` with ``_salt``, and the number of salts of the large groups by the hash of their keys.
-
-    A sketch of heavy hitters gives each large group salts in proportion to its size; all others keep
-    one. A row's salt comes from its values and its partition, so equal rows spread too and a task
-    that runs again deals them alike. ``rows`` is read twice: hand over a stored table.
-    """
-    group = F.xxhash64(*keys)
+def heavy_groups(rows: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """(_group, _salts): by the hash of their keys the large groups, with salts in proportion to their
+    rows, from a sketch of heavy hitters. At most ``HITTERS`` rows; all other groups keep one salt."""
     tracked = f"approx_top_k(_group, {HITTERS}, {10 * HITTERS})"
-    top = rows.select(group.alias("_group")).agg(F.expr(tracked).alias("t")).select(F.explode("t").alias("t"))
+    top = rows.select(F.xxhash64(*keys).alias("_group")).agg(F.expr(tracked).alias("t")).select(F.explode("t").alias("t"))
     wanted = F.ceil(F.col("t.count") / rows_per_salt).cast("int")
-    salts = top.select(F.col("t.item").alias("_group"), wanted.alias("_salts")).where("_salts > 1")
+    return top.select(F.col("t.item").alias("_group"), wanted.alias("_salts")).where("_salts > 1")
+
+
+def deal_over_salts(rows: DataFrame, keys: list[str], salts: DataFrame) -> DataFrame:
+    """``rows`` with ``_salt``. It comes from a row's values and its partition, so equal rows spread too
+    and a task that runs again deals them alike."""
     # at most HITTERS rows in the broadcast
-    dealt = rows.withColumn("_group", group).join(F.broadcast(salts), "_group", "left")
+    known = rows.withColumn("_group", F.xxhash64(*keys)).join(F.broadcast(salts), "_group", "left")
     salt = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.coalesce("_salts", F.lit(1)))
-    return dealt.select(*rows.columns, salt.cast("int").alias("_salt")), salts
+    return known.select(*rows.columns, salt.cast("int").alias("_salt"))
 
 
 def copies_per_salt(stats: DataFrame, keys: list[str], salts: DataFrame) -> DataFrame:
@@ -54,11 +54,12 @@ def join_group_stats(rows: DataFrame, stats: DataFrame, keys: list[str], rows_pe
     """Inner join of rows with one row of statistics per group; NULL keys do not match.
 
     The rows of a large group are dealt over salts and its statistics repeated once per salt, so a
-    group spreads over as many tasks as other rows of that number. See ``deal_over_salts``.
+    group spreads over as many tasks as other rows of that number. ``rows`` is read twice, for the
+    sizes of its groups and for the join: hand over a stored table.
     """
-    dealt, salts = deal_over_salts(rows, keys, rows_per_salt)
+    salts = heavy_groups(rows, keys, rows_per_salt)
     values = [c for c in stats.columns if c not in keys]
-    return dealt.join(copies_per_salt(stats, keys, salts), [*keys, "_salt"]).select(*rows.columns, *values)
+    return deal_over_salts(rows, keys, salts).join(copies_per_salt(stats, keys, salts), [*keys, "_salt"]).select(*rows.columns, *values)
 
 
 def longest_per_begin(intervals: DataFrame, keys: list[str], begin: str, end: str) -> DataFrame:
@@ -124,22 +125,21 @@ def overlapped(
 ) -> DataFrame:
     """Distinct event intervals of which one interval covers at least ``min_share``.
 
-    Both sides are first reduced to distinct intervals and then put into bins of days whose length
-    suits theirs, so only intervals close in time meet and a long one needs no more rows than a short
-    one. The semi-join stops at the first interval that is enough; pairs are never written out.
-    Columns of the result: keys, ``labels`` of the event, its begin and its end.
+    Both sides are put into bins of days whose length suits theirs, so only intervals close in time meet
+    and a long one needs no more rows than a short one. The semi-join stops at the first interval that
+    is enough; pairs are never written out. ``events`` is read twice, for the levels that occur and for
+    the bins. Columns of the result: keys, ``labels`` of the event, its begin and its end.
     """
 
     def met(df: DataFrame, begin: str, end: str) -> Column:
         bits = F.bit_or(F.expr(f"shiftleft(1, {_level(begin, end)})"))
         return F.coalesce(df.where(F.col(begin) <= F.col(end)).agg(bits).scalar(), F.lit(0))
 
-    spans = events.select(*keys, *labels, F.col(event[0]).alias("eb"), F.col(event[1]).alias("ee")).distinct()
+    spans = events.select(*keys, *labels, F.col(event[0]).alias("eb"), F.col(event[1]).alias("ee"))
     others = longest_per_begin(intervals, keys, *interval).select(
         *[F.col(k).alias(f"i_{k}") for k in keys], F.col(interval[0]).alias("ib"), F.col(interval[1]).alias("ie")
     )
-    # both are read twice: for the levels that occur, and for the bins
-    spans, others = materialise(spans, "spans"), materialise(others, "intervals")
+    others = materialise(others, "intervals")
     left = bins(spans, "eb", "ee", met(others, "ib", "ie"), 0)
     right = bins(others, "ib", "ie", met(spans, "eb", "ee"), 1).withColumnsRenamed({c: f"i_{c}" for c in ("kind", "lvl", "bin")})
     near = all_of(F.col(k) == F.col(f"i_{k}") for k in [*keys, "kind", "lvl", "bin"])

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfcurve.operators.joins import copies_per_salt, deal_over_salts, join_group_stats
+from shelfcurve.operators.joins import copies_per_salt, deal_over_salts, heavy_groups, join_group_stats
 from shelfcurve.operators.windows import RANGE, ordered_ranges
 from shelfcurve.session import materialise
 
@@ -67,8 +67,8 @@ def levels_of(blocks: DataFrame, keys: list[str], spread: Callable[[DataFrame],
     copied = (spread(narrow) if spread else narrow).dropna("any", subset=keys)
     group = F.struct(*keys, "_metric").alias("_group_key")
     given = materialise(copied.select(group, "_block", "_n", "_mean", "_m2", "_least", "_most", "_total"), "levels")
-    dealt, salts = deal_over_salts(given, ["_group_key"])
-    return Levels(blocks, materialise(dealt, "dealt"), salts)
+    salts = materialise(heavy_groups(given, ["_group_key"]), "salts")
+    return Levels(blocks, deal_over_salts(given, ["_group_key"], salts), salts)
 
 
 def _around(centre: Column) -> list[Column]:
