@@ -65,3 +65,12 @@ def test_library_does_not_collect():
         text = source.read_text()
         for word in (".collect()", "toPandas", "crossJoin", "localCheckpoint", "pandas_udf", "mapInPandas", ".rdd"):
             assert word not in text, (source, word)
+
+
+def test_a_plain_table_tells_its_size(spark):
+    """Equal values pack a hundredfold, and the planner takes the size of files for that of rows."""
+    df = spark.range(100_000).selectExpr("1.5D AS v")
+    size = lambda t: int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert size(session.materialise(df, "packed")) < 100_000
+    assert size(session.materialise(df, "plain", plain=True)) >= 800_000
+    assert size(session.materialise_buckets(df, "v", 2, "plain", plain=True)) >= 800_000
