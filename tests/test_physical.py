@@ -1,10 +1,14 @@
 """What the plans must and must not contain."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from shelfcurve.catalog import QUERIES
+from shelfcurve.catalog import QUERIES, pricing
+from shelfcurve.operators import joins
+from shelfcurve.plans import baseline, elasticity
 from shelfcurve.sources import retail
 
 
@@ -50,3 +54,35 @@ def test_pairs_do_not_depend_on_the_ranges(spark, sf_dir):
         return df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
 
     assert total(3) == total(50)
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_sales_lie_by_the_keys_they_meet_prices_by(spark, no_broadcasts):
+    sf = "/root/testdata/sf0.001"
+    inputs, _ = pricing.baseline_inputs(spark, sf, pricing.simple_trends(spark, sf))
+    assert "Exchange" not in plan_of(inputs.sales.join(inputs.prices, baseline.PAIR_DAY))
+
+
+@pytest.mark.parametrize("name", ["deflated_sales", "growth_coefficient"])
+def test_stored_days_move_by_their_pair_only(name, spark, no_broadcasts):
+    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    # the one exchange by days is that of counting them, of partial sums
+    assert len(re.findall(r"hashpartitioning\(whs_id#\d+L?, art_id#\d+, day_id#", plan)) <= 1
+
+
+def test_bins_of_intervals_are_not_broadcast(spark):
+    """They are a multiple of the intervals whose size the planner sees."""
+    spans = spark.range(1000).selectExpr("id % 5 AS k", "date_add(DATE '2024-01-01', int(id)) AS b", "date_add(DATE '2024-01-01', int(id) + 9) AS e")
+    assert "BroadcastHashJoin" not in plan_of(joins.overlapped(spans, spans, ["k"], ("b", "e"), ("b", "e"), 0.5))
+
+
+def test_filters_on_pairs_read_the_row_before_as_columns(spark, sf_dir):
+    filters = [x for x in plan_of(elasticity.valid_pairs(retail.price_pairs(spark, sf_dir))).splitlines() if "Filter" in x and "previous_price" in x]
+    assert filters and not any("_inside" in x for x in filters)
