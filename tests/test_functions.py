@@ -89,6 +89,15 @@ def test_truncating_division(rows):
     assert (one(df, numeric.quotient(F.col("n"), 5)), one(df, F.col("n") % 5)) == (-7, -3)
 
 
+def test_growth_coefficient_in_steps(rows):
+    values = (None, -50.0, -1.0, 0.0, 0.4, 1.0, 3.0, 50.0)
+    df = rows("a double, b double, d double", *[(a, b, d) for a in values for b in values for d in values])
+    whole = numeric.growth_coefficient(F.col("a"), F.col("b"), F.col("d"))
+    found = numeric.with_growth_coefficient(df, "steps", "a", "b", "d").withColumn("whole", whole)
+    assert found.columns == ["a", "b", "d", "steps", "whole"]
+    assert found.where(~F.col("steps").eqNullSafe(F.col("whole"))).count() == 0
+
+
 def test_growth_coefficient_raises_and_lowers(rows):
     df = rows("a double, b double, d double", (0.5, 2.0, 0.25))
     expected = math.exp(0.5 + 2.0 * 0.25) - math.exp(0.5) + 1

@@ -77,6 +77,24 @@ def test_stored_days_move_by_their_pair_only(name, spark, no_broadcasts):
     assert len(re.findall(r"hashpartitioning\(whs_id#\d+L?, art_id#\d+, day_id#", plan)) <= 1
 
 
+def test_methods_of_the_rollup_are_small_enough_for_the_compiler(spark):
+    """The JVM interprets methods of more than 8,000 bytes."""
+    names = [
+        *baseline.PAIR, "sales_qnty", "opsum", "factual_price", "regular_price", "target_price", "is_txn_disc",
+        "coef_holiday", "coef_season", "exp_trend_a", "exp_trend_b",
+    ]
+    days = spark.range(1000).select(*[(F.col("id") % n + 1).cast("double").alias(c) for n, c in enumerate(names, 2)])
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        totals = baseline.baseline_rollup(baseline.regular_quantity(baseline.deflated_sales(days)))
+        text = spark._jvm.PythonSQLUtils.explainString(totals._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_bins_of_intervals_are_not_broadcast(spark):
     """They are a multiple of the intervals whose size the planner sees."""
     spans = spark.range(1000).selectExpr("id % 5 AS k", "date_add(DATE '2024-01-01', int(id)) AS b", "date_add(DATE '2024-01-01', int(id) + 9) AS e")
