@@ -77,6 +77,18 @@ def test_stored_days_move_by_their_pair_only(name, spark, no_broadcasts):
     assert len(re.findall(r"hashpartitioning\(whs_id#\d+L?, art_id#\d+, day_id#", plan)) <= 1
 
 
+@pytest.mark.parametrize("name", ["deflated_sales", "growth_coefficient"])
+def test_days_are_counted_without_an_exchange_of_days(name, spark, no_broadcasts):
+    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert not re.findall(r"hashpartitioning\(whs_id#\d+L?, art_id#\d+, day_id#", plan)
+
+
+def test_stored_ranges_have_no_price(spark, sf_dir):
+    """It is made of three other stored columns."""
+    scans = [x for x in plan_of(retail.price_pairs(spark, sf_dir)).splitlines() if "FileScan" in x]
+    assert scans and not any(re.search(r"\bprice#", x) for x in scans)
+
+
 def test_methods_of_the_rollup_are_small_enough_for_the_compiler(spark):
     """The JVM interprets methods of more than 8,000 bytes."""
     names = [
